@@ -226,7 +226,7 @@ WHERE event_id >= (SELECT max(event_id) // 4 FROM events)
     "clean_documents": """SELECT doc_id,
   CASE WHEN NOT regexp_full_match(text, '\\s*') THEN text END AS text,
   CASE WHEN lang <> 'en' THEN lang END AS lang,
-  CASE WHEN source <> 'web' THEN CAST(n_chars AS DOUBLE) END AS n_chars FROM documents""",
+  CASE WHEN source <> 'src5' THEN CAST(n_chars AS DOUBLE) END AS n_chars FROM documents""",
     "hex_pages": """SELECT page_id,
   CASE WHEN length(html) > 0 THEN lower(hex(encode(html))) END AS html,
   CASE WHEN length(url) <= 30 AND length(url) > 0 THEN lower(hex(encode(url))) END AS url FROM pages""",

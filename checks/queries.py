@@ -96,7 +96,7 @@ def clean_documents(spark, d):
         "doc_id",
         "text",
         F.when(F.col("lang") == "en", F.lit(" \t\n")).otherwise(F.col("lang")).alias("lang"),
-        F.when(F.col("source") == "web", F.lit(float("nan")))
+        F.when(F.col("source") == "src5", F.lit(float("nan")))
         .otherwise(F.col("n_chars").cast("double"))
         .alias("n_chars"),
         F.lit(1).alias("insert_version"),

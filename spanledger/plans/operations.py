@@ -29,10 +29,18 @@ from spanledger.operators.state import (
 from spanledger.plans.ranges import plan_ranges
 from spanledger.plans.repair import repair_plan
 from spanledger.schemas import PROCESSING, STATE_KEY, TABLES
-from spanledger.sources.extracts import project_dataset, read_dataset
+from spanledger.sources.extracts import project_dataset, read_dataset, slice_range
 from spanledger.sources.tables import TableStore
 
 
+Bounds = tuple[int, int]
+
+
+def within(rows: DataFrame, bounds: Bounds) -> DataFrame:
+    """Rows between the outer bounds of a plan; a scan filter that skips row groups."""
+    return slice_range(rows, *bounds)
+
+
 class RawZone:
     """Extracted rows: Parquet files below a folder, found by dataset name, or given frames."""
 
@@ -47,12 +55,12 @@ class RawZone:
             raw = read_dataset(store.spark, self.folder, dataset)
         return project_dataset(raw, dataset)
 
-    def rows(self, store: TableStore, dataset: str, ranges: DataFrame) -> DataFrame:
+    def rows(self, store: TableStore, dataset: str, ranges: DataFrame, bounds: Bounds) -> DataFrame:
         """Cleaned rows of the dataset that lie in any of the ranges.
 
         The outer bounds go to the scan as a plain filter; the exact ranges by a semi join.
         """
-        near = _near(self.read(store, dataset), ranges)
+        near = within(self.read(store, dataset), bounds)
         return clean(rows_in_ranges(near, ranges), dataset)
 
 
@@ -82,26 +90,39 @@ def load_plan(
     todo = plan.select(*STATE_KEY).withColumn("start_block", first_block("dataset", "start_block"))
     known = store.state() if claim else store.state().limit(0)
     store.append_state(claim_ranges(known, todo, worker, as_of, version))
-    # From here on the plan is what was written, not what might be computed again.
-    todo = store.state().filter(
-        (F.col("insert_version") == version)
-        & (F.col("status") == PROCESSING)
-        & (F.col("worker_id") == worker)
-    ).select(*STATE_KEY).distinct()
-    names = [r[0] for r in todo.select("dataset").distinct().collect()]  # at most the known datasets
+    # From here on the plan is what was written, not what might be computed again. A replay
+    # skips the ranges whose outcome is already recorded.
+    todo = (
+        store.state()
+        .filter(F.col("insert_version").isin(version, version + 1))
+        .groupBy(*STATE_KEY)
+        .agg(F.bool_and((F.col("status") == PROCESSING) & (F.col("worker_id") == worker)).alias("open"))
+        .filter("open")
+        .select(*STATE_KEY)
+    )
+    # One row per dataset of the plan, at most the declared ones.
+    names = {
+        r["dataset"]: (r["lo"], r["hi"])
+        for r in todo.groupBy("dataset")
+        .agg(F.min("start_block").alias("lo"), F.max("end_block").alias("hi"))
+        .collect()
+    }
+    if not names:
+        return
+    bounds = (min(lo for lo, _ in names.values()), max(hi for _, hi in names.values()))
 
     if "blocks" in names:
         ranges = todo.filter(F.col("dataset") == "blocks")
-        rows = raw.rows(store, "blocks", ranges)
+        rows = raw.rows(store, "blocks", ranges, names["blocks"])
         blocks, withdrawals = split_blocks(_with_columns(rows, "blocks"))
         if replace:
             store.delete_ranges("blocks", ranges)
         store.append(blocks, "blocks", version)
         store.append(validate_rows(withdrawals), "withdrawals", version)
-    children = [n for n in TABLES if n in names and n != "blocks"]
+        block_rows = blocks.select("block_number").unionByName(withdrawals.select("block_number"))
 
     # Timestamp gate, for all ranges of the plan in one pass over the blocks table.
-    gate = validate_timestamps(todo, _near(store.read("blocks"), todo)).withColumn(
+    gate = validate_timestamps(todo, within(store.read("blocks"), bounds)).withColumn(
         "message",
         F.format_string(
             "Block timestamps unusable (%s): %s/%s valid, %s present",
@@ -110,41 +131,43 @@ def load_plan(
     )
     checked = todo.join(gate, ["start_block", "end_block"]).select(*STATE_KEY, "ok", "message")
     checked = _written(store, checked, f"gate-{version}")
-
-    outcome = checked.filter((F.col("dataset") == "blocks") & ~F.col("ok"))
+    is_block_range = F.col("dataset") == "blocks"
+    failed = checked.filter(~F.col("ok")).select(
+        *STATE_KEY,
+        F.when(is_block_range, F.col("message"))
+        .otherwise(F.concat(F.lit("Skipped: "), "message"))
+        .alias("error_message"),
+    )
+    outcome = fail_ranges(store.state(), failed, as_of, version + 1)
     if "blocks" in names:
-        good = checked.filter((F.col("dataset") == "blocks") & F.col("ok"))
-        loaded = _near(store.read("blocks"), good).filter(F.col("insert_version") == version)
-        extra = _near(store.read("withdrawals"), good).filter(F.col("insert_version") == version)
-        counts = rows_per_range(
-            loaded.select("block_number").unionByName(extra.select("block_number")), good
-        )
-        done = good.join(counts, ["start_block", "end_block"])
-        store.append_state(complete_ranges(done, as_of, version + 1))
-        bad = outcome.select(*STATE_KEY, F.col("message").alias("error_message"))
-        store.append_state(fail_ranges(store.state(), bad, as_of, version + 1))
-    if children:
-        skipped = (
-            checked.filter((F.col("dataset") != "blocks") & ~F.col("ok"))
-            .select(*STATE_KEY, F.concat(F.lit("Skipped: "), "message").alias("error_message"))
-        )
-        store.append_state(fail_ranges(store.state(), skipped, as_of, version + 1))
-
-    for name in children:
+        good = checked.filter(is_block_range & F.col("ok"))
+        outcome = outcome.unionByName(_completed(good, block_rows, as_of, version + 1))
+    store.append_state(outcome)
+
+    for name in (n for n in TABLES if n in names and n != "blocks"):
         good = checked.filter((F.col("dataset") == name) & F.col("ok"))
         try:
-            rows = _with_columns(raw.rows(store, name, good), name)
-            stamped = validate_rows(enrich_strict(rows, _near(store.read("blocks"), good)))
+            rows = _with_columns(raw.rows(store, name, good, names[name]), name)
+            parents = within(store.read("blocks"), names[name])
+            stamped = validate_rows(enrich_strict(rows, parents))
             if replace:
                 store.replace_ranges(name, good, stamped, version)
             else:
                 store.append(stamped, name, version)
-            loaded = _near(store.read(name), good).filter(F.col("insert_version") == version)
-            done = good.join(rows_per_range(loaded, good), ["start_block", "end_block"])
-            store.append_state(complete_ranges(done, as_of, version + 1))
+            outcome = _completed(good, rows, as_of, version + 1)
         except Exception as error:  # recorded per range; the other datasets go on
-            failed = good.select(*STATE_KEY, F.lit(str(error)).alias("error_message"))
-            store.append_state(fail_ranges(store.state(), failed, as_of, version + 1))
+            broken = good.select(*STATE_KEY, F.lit(str(error)).alias("error_message"))
+            outcome = fail_ranges(store.state(), broken, as_of, version + 1)
+        store.append_state(outcome)
+
+
+def _completed(ranges: DataFrame, loaded: DataFrame, as_of: str, version: int) -> DataFrame:
+    """Completed state rows with the number of rows loaded per range.
+
+    The rows are counted where they come from, so a replayed append does not count twice.
+    """
+    counts = rows_per_range(loaded, ranges)
+    return complete_ranges(ranges.join(counts, ["start_block", "end_block"]), as_of, version)
 
 
 def _with_columns(rows: DataFrame, name: str) -> DataFrame:
@@ -156,15 +179,6 @@ def _with_columns(rows: DataFrame, name: str) -> DataFrame:
     return conform(rows, name, keep=TABLES[name].extra_input)
 
 
-def _near(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows within the outer bounds of the ranges; a scan filter that skips row groups."""
-    b = ranges.agg(F.min("start_block").alias("lo"), F.max("end_block").alias("hi")).first()
-    if b["lo"] is None:
-        return rows.limit(0)
-    n = F.col("block_number")
-    return rows.filter((n >= b["lo"]) & (n < b["hi"]))
-
-
 def _written(store: TableStore, df: DataFrame, name: str) -> DataFrame:
     path = store.path(f"_work/{name}")
     df.write.mode("overwrite").parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,11 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
     return configure(spark)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder the cluster shares through spark.checkpoint.dir.
 
@@ -49,6 +55,5 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/spanledger/{name}-{uuid.uuid4().hex}"

@@ -62,6 +62,17 @@ def latest_status(state: DataFrame) -> DataFrame:
     return latest_state(state).select(*STATE_KEY, "status")
 
 
+def last_events(state: DataFrame) -> DataFrame:
+    """The last event of every range as it was written, without values of older ones.
+
+    The columns travel in one struct, so that plans which filter the result in several ways
+    all ask for one and the same shuffle.
+    """
+    columns = ("status", "worker_id", "rows_indexed", "created_at")
+    last = state.groupBy(*STATE_KEY).agg(F.max_by(F.struct(*columns), _state_order()).alias("__last"))
+    return last.select(*STATE_KEY, "__last.*")
+
+
 def range_status(state: DataFrame, dataset: str, start: int, end: int) -> DataFrame:
     """Status of one range; no row when it was never attempted."""
     return latest_status(

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.functions.columns import block_timestamp, usable_timestamp
 from spanledger.operators.coverage import find_gaps, history_summary
-from spanledger.operators.latest import latest_wins
+from spanledger.operators.latest import last_events, latest_wins
 from spanledger.operators.running import sum_over_ranges
-from spanledger.schemas import COMPLETED, DATASETS, ROWS_EXPECTED, TABLES
+from spanledger.schemas import COMPLETED, DATASETS, ROWS_EXPECTED, STATE_KEY, TABLES
 
 
 def validate_timestamps(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -69,15 +69,16 @@ def zero_row_ranges(
     wanted = state.filter(F.col("dataset").isin(checked) & (F.col("start_block") >= start_block))
     if end_block is not None:
         wanted = wanted.filter(F.col("end_block") <= end_block)
-    # The row count of the completing event itself, not of an older one.
-    last = wanted.groupBy("dataset", "start_block", "end_block").agg(
-        F.max_by(
-            F.struct("status", "rows_indexed"), F.struct("created_at", "insert_version")
-        ).alias("__last")
+    return last_events(wanted).filter(is_empty()).select(*STATE_KEY)
+
+
+def is_empty() -> Column:
+    """On a last event: completed without rows of its own where rows are due."""
+    return (
+        (F.col("status") == COMPLETED)
+        & (F.coalesce("rows_indexed", F.lit(0)) == 0)
+        & F.col("dataset").isin(*ROWS_EXPECTED)
     )
-    return last.filter(
-        (F.col("__last.status") == COMPLETED) & (F.coalesce("__last.rows_indexed", F.lit(0)) == 0)
-    ).select("dataset", "start_block", "end_block")
 
 
 def check_schema(df: DataFrame, table: str) -> DataFrame:

@@ -21,6 +21,13 @@ BUCKET_WIDTH = 1 << 20
 _AGG = {"max": F.max, "sum": F.sum}
 
 
+def positioned(df: DataFrame, by: Sequence[str], position: str, width: int = BUCKET_WIDTH) -> DataFrame:
+    """The rows that take part in a running aggregate."""
+    for c in by:
+        df = df.filter(F.col(c).isNotNull())
+    return df.filter(bucket_of(position, width).isNotNull())
+
+
 def running_before(
     df: DataFrame,
     by: Sequence[str],
@@ -35,11 +42,9 @@ def running_before(
     A sum over no rows is 0, a maximum over no rows is NULL.
     """
     by = list(by)
-    bucketed = df.withColumn("__bucket", bucket_of(position, width))
     # The join below drops NULL keys; said here, both of its sides read the same rows and
     # Spark runs the shuffle they share once.
-    for c in [*by, "__bucket"]:
-        bucketed = bucketed.filter(F.col(c).isNotNull())
+    bucketed = positioned(df, by, position, width).withColumn("__bucket", bucket_of(position, width))
     totals = bucketed.groupBy(*by, "__bucket").agg(
         *[_AGG[how](c).alias(f"__total_{out}") for out, (c, how) in values.items()]
     )

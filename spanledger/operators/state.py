@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.functions.columns import first_block, timestamp_at
-from spanledger.operators.latest import latest_status
+from spanledger.operators.latest import last_events, latest_status
 from spanledger.schemas import (
     COMPLETED,
     ERROR_TEXT_LIMIT,
@@ -97,12 +97,13 @@ def fail_dependents(
 
 def stuck_ranges(state: DataFrame, as_of, timeout_hours: int = 2) -> DataFrame:
     """Ranges whose last event is `processing` and older than the timeout."""
-    last = state.groupBy(*STATE_KEY).agg(
-        F.max_by(F.struct("status", "worker_id", "created_at"), F.struct("created_at", "insert_version")).alias("__l")
-    )
-    return last.select(*STATE_KEY, "__l.*").filter(
-        (F.col("status") == PROCESSING)
-        & (F.col("created_at") < timestamp_at(as_of) - F.make_dt_interval(hours=F.lit(timeout_hours)))
+    return (
+        last_events(state)
+        .filter(
+            (F.col("status") == PROCESSING)
+            & (F.col("created_at") < timestamp_at(as_of) - F.make_dt_interval(hours=F.lit(timeout_hours)))
+        )
+        .select(*STATE_KEY, "status", "worker_id", "created_at")
     )
 
 

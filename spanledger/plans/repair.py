@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.operators.coverage import find_gaps, highest_attempted, non_completed_ranges
-from spanledger.operators.latest import latest_status
-from spanledger.operators.quality import zero_row_ranges
-from spanledger.operators.running import running_before
+from spanledger.operators.latest import last_events
+from spanledger.operators.quality import is_empty
+from spanledger.operators.running import positioned, running_before
 from spanledger.plans.ranges import split_ranges
 from spanledger.schemas import BLOCKS_PER_HOUR, DATASETS, FAILED, PROCESSING, STATE_KEY
 
@@ -19,12 +19,15 @@ REASONS = ("not_completed", "gap", "failed", "zero_rows")
 
 
 def without_overlap(candidates: DataFrame, busy: DataFrame) -> DataFrame:
-    """Candidate ranges that overlap no busy range of their dataset.
+    """Candidate ranges that overlap no busy range of their dataset; neither side has NULLs.
 
     A busy range overlaps [s, e) iff it starts before e and ends after s, so the furthest end
     among busy ranges that start before e decides. That is one running maximum; no
     (candidate, busy) pair is formed.
     """
+    # Candidates are read twice. With the same rows and columns wanted on both sides, Spark
+    # runs the shuffle below them once.
+    candidates = positioned(candidates.dropna(), ["dataset"], "end_block")
     points = (
         busy.select("dataset", F.col("start_block").alias("__at"), F.col("end_block").alias("__reach"))
         .withColumn("__mark", F.lit(0))
@@ -96,26 +99,25 @@ def repair_plan(
             "dataset", (below - below % batch).alias("__lo"), F.col("highest_attempted").alias("__hi")
         )
 
-        def recent(df: DataFrame) -> DataFrame:
-            return df.join(F.broadcast(windows), "dataset").filter(
-                (F.col("start_block") >= F.col("__lo")) & (F.col("end_block") <= F.col("__hi"))
-            )
-
-        latest = latest_status(mine)
-        found = (
-            _with_reason(split_ranges(gaps.select(*gap_range), batch), "gap")
-            .unionByName(_with_reason(recent(latest.filter(F.col("status") == FAILED)), "failed"))
-            .unionByName(_with_reason(recent(zero_row_ranges(state, datasets)), "zero_rows"))
+        last = last_events(mine)
+        why = F.when(F.col("status") == FAILED, REASONS.index("failed")).when(
+            is_empty(), REASONS.index("zero_rows")
+        )
+        issues = (
+            last.withColumn("__why", why)
+            .filter(F.col("__why").isNotNull())
+            .join(F.broadcast(windows), "dataset")
+            .filter((F.col("start_block") >= F.col("__lo")) & (F.col("end_block") <= F.col("__hi")))
+            .select(*STATE_KEY, "__why")
         )
-        found = without_overlap(found, latest.filter(F.col("status") == PROCESSING))
+        found = _with_reason(split_ranges(gaps.select(*gap_range), batch), "gap").unionByName(issues)
     else:
         raise ValueError(f"unknown mode {mode}")
-    return (
-        found.groupBy(*STATE_KEY)
-        .agg(F.min("__why").alias("__why"))
-        .select(
-            *STATE_KEY,
-            F.element_at(F.array(*[F.lit(r) for r in REASONS]), F.col("__why") + 1).alias("reason"),
-            F.when(F.col("dataset") == "blocks", 0).otherwise(1).alias("load_order"),
-        )
+    found = found.groupBy(*STATE_KEY).agg(F.min("__why").alias("__why"))
+    if mode == "auto":
+        found = without_overlap(found, last.filter(F.col("status") == PROCESSING).select(*STATE_KEY))
+    return found.select(
+        *STATE_KEY,
+        F.element_at(F.array(*[F.lit(r) for r in REASONS]), F.col("__why") + 1).alias("reason"),
+        F.when(F.col("dataset") == "blocks", 0).otherwise(1).alias("load_order"),
     )

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from spanledger.functions.columns import timestamp_at
 from spanledger.operators.joins import rows_in_ranges
 from spanledger.operators.latest import latest_wins
+from spanledger.plans.ranges import plan_ranges
 from spanledger.schemas import STATE_KEY, STATE_SCHEMA, STATE_TABLE, TABLES
 from spanledger.session import work_folder
 
@@ -135,8 +136,7 @@ class TableStore:
         return deleted
 
     def delete_range(self, table: str, start: int, end: int, related: bool = True) -> int:
-        one = self.spark.createDataFrame([(start, end)], "start_block BIGINT, end_block BIGINT")
-        return self.delete_ranges(table, one, related)
+        return self.delete_ranges(table, plan_ranges(self.spark, start, end, max(end - start, 1)), related)
 
     def replace_ranges(
         self, table: str, ranges: DataFrame, rows: DataFrame, version: int | None = None

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from spanledger.session import local_session
 
-    session = local_session(cpus=4, shuffle_partitions=4, app="tests")
+    session = local_session(cpus=8, shuffle_partitions=4, app="tests")
     yield session
     session.stop()
 

@@ -400,7 +400,7 @@ ranges AS (SELECT s AS start_block, least(s + 10, e) AS end_block
   FROM (SELECT e, unnest(range(0, e, 10)) AS s FROM (SELECT max(n) + 1 AS e FROM hits)))
 SELECT start_block, end_block, count(n) AS rows_indexed
 FROM ranges LEFT JOIN hits ON n >= start_block AND n < end_block GROUP BY ALL""",
-    "partition_keys": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS part_month,
+    "partition_keys": """SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS part_month,
   CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS part_day, count(*) AS n_rows FROM orders GROUP BY ALL""",
     "retention": """SELECT event_id AS block_number FROM events
 WHERE ts + INTERVAL 2 DAY > TIMESTAMP '2024-01-31 00:00:00'""",

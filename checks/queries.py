@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -408,7 +409,9 @@ def partition_keys(spark, d):
     return (
         V.table(spark, d, "orders")
         .select(
-            partition_value("month", F.col("o_orderdate").cast("timestamp")).alias("part_month"),
+            partition_value("month", F.col("o_orderdate").cast("timestamp"))
+            .cast("string")
+            .alias("part_month"),
             partition_value("day", F.col("o_orderdate").cast("timestamp")).alias("part_day"),
         )
         .groupBy("part_month", "part_day")
@@ -479,8 +482,6 @@ def replace_ranges(spark, d):
 
 
 def expire_live(spark, d):
-    from datetime import datetime
-
     store, _ = _event_store(spark, d, "expire")
     for name in ("blocks", "withdrawals"):
         store.expire(name, datetime(2024, 1, 30, 12), 2)

@@ -28,7 +28,7 @@ from spanledger.operators.state import (
 )
 from spanledger.plans.ranges import plan_ranges
 from spanledger.plans.repair import repair_plan
-from spanledger.schemas import PROCESSING, STATE_KEY, TABLES
+from spanledger.schemas import PROCESSING, STATE_KEY, STATE_TABLE, TABLES
 from spanledger.sources.extracts import project_dataset, read_dataset, slice_range
 from spanledger.sources.tables import TableStore
 
@@ -226,5 +226,5 @@ def auto_maintain(
 def validate(
     store: TableStore, datasets: Sequence[str], start: int = 0, end: int = 0
 ) -> DataFrame:
-    """Read-only report per dataset; see `validate_report`."""
-    return validate_report(store.state(), datasets, start, end)
+    """Read-only report per dataset over the latest state; see `validate_report`."""
+    return validate_report(store.latest(STATE_TABLE), datasets, start, end)

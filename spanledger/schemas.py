@@ -89,6 +89,19 @@ EPOCH_FLOOR_SECONDS = 31_536_000
 DIFF_GAP_START = 1000
 ERROR_TEXT_LIMIT = 500
 BLOCKS_PER_HOUR = 720
+BATCH_SIZE = 100
+CONFIRMATIONS = 12
+# Live tier: smaller ranges, fewer confirmations, retention of data and of state in days.
+LIVE_BATCH_SIZE = 10
+LIVE_CONFIRMATIONS = 6
+LIVE_DATA_DAYS = 2
+LIVE_STATE_DAYS = 7
+# Named lists of datasets.
+MODES = {
+    "minimal": ("blocks", "transactions", "logs"),
+    "extra": ("contracts", "native_transfers", "traces"),
+    "diffs": ("balance_diffs", "code_diffs", "nonce_diffs", "storage_diffs"),
+}
 DURATION_BUCKETS = (0.5, 1, 2.5, 5, 10, 25, 50, 100, 250, 500, 1000)
 STUCK_MESSAGE = "Auto-recovered: stuck processing since "
 REPROCESS_MESSAGE = "Auto-maintain: zero rows detected, marked for reprocess"
@@ -153,6 +166,7 @@ TABLES = {
 }
 # What can be extracted; withdrawals are derived from blocks.
 DATASETS = tuple(name for name in TABLES if name != "withdrawals")
+MODES["full"] = DATASETS
 DIFF_DATASETS = tuple(t.name for t in TABLES.values() if t.first_block > 0)
 ROWS_EXPECTED = tuple(t.name for t in TABLES.values() if t.rows_expected)
 STATE_TABLE = "indexing_state"

@@ -17,7 +17,14 @@ from spanledger.functions.columns import timestamp_at
 from spanledger.operators.joins import rows_in_ranges
 from spanledger.operators.latest import latest_wins
 from spanledger.plans.ranges import plan_ranges
-from spanledger.schemas import STATE_KEY, STATE_SCHEMA, STATE_TABLE, TABLES
+from spanledger.schemas import (
+    LIVE_DATA_DAYS,
+    LIVE_STATE_DAYS,
+    STATE_KEY,
+    STATE_SCHEMA,
+    STATE_TABLE,
+    TABLES,
+)
 from spanledger.session import work_folder
 
 # Time partition per tier: column, type, and the value of a timestamp.
@@ -73,6 +80,15 @@ class TableStore:
         fs, p = self._fs(self.path(table))
         return fs.exists(p)
 
+    def ddl(self, table: str) -> str:
+        """CREATE TABLE statement over the files; MSCK REPAIR TABLE then finds the partitions."""
+        columns = [f"{f.name} {f.dataType.simpleString()}" for f in self._schema(table).fields]
+        columns.append(f"{self.column} {self.column_type.simpleString()}")
+        return (
+            f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet "
+            f"PARTITIONED BY ({self.column}) LOCATION '{self.path(table)}'"
+        )
+
     # -- read -----------------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         """Every stored version, with the partition column."""
@@ -223,6 +239,12 @@ class TableStore:
         at_edge = self.read(table).filter(F.col(self.column) == F.lit(edge))
         self._overwrite(unexpired(at_edge, stamp, as_of, keep_days), table, {edge})
 
+    def expire_live(self, as_of: datetime) -> None:
+        """Retention of the live tier; state outlives the data it describes."""
+        for table in TABLES:
+            self.expire(table, as_of, LIVE_DATA_DAYS)
+        self.expire(STATE_TABLE, as_of, LIVE_STATE_DAYS)
+
 
 def unexpired(df: DataFrame, stamp: str, as_of, keep_days: int) -> DataFrame:
     """Rows whose time plus the retention is still ahead of `as_of`."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def stream_dedup(
@@ -23,3 +24,13 @@ def confirmed_by_time(
 ) -> DataFrame:
     """Watermark at the confirmation depth, for event-time operators downstream."""
     return rows.withWatermark(stamp, f"{confirmations * seconds_per_block} seconds")
+
+
+def unexpired_stream(
+    rows: DataFrame, keep_days: int, stamp: str = "block_timestamp", lateness: str | None = None
+) -> DataFrame:
+    """Live-tier rows: a watermark at the retention, and no row that is already past it."""
+    keep = F.make_dt_interval(days=F.lit(keep_days))
+    return rows.withWatermark(stamp, lateness or f"{keep_days} days").filter(
+        F.col(stamp) + keep > F.current_timestamp()
+    )

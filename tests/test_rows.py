@@ -200,7 +200,7 @@ def test_files_are_found_and_routed_by_name(spark, tmp_path):
     import pyarrow.parquet as pq
 
     (tmp_path / "deep").mkdir()
-    names = ["gno__logs__0_to_99.parquet", "deep/logs_100.parquet", "gno__balance_diffs__0.parquet",
+    names = ["net__logs__0_to_99.parquet", "deep/logs_100.parquet", "net__balance_diffs__0.parquet",
              "balance_diffs__1.parquet", "other.parquet"]
     for i, name in enumerate(names):
         pq.write_table(pa.table({"block_number": [i]}), tmp_path / name)

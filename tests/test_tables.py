@@ -270,3 +270,66 @@ def test_stream_dedup_keeps_the_first_of_a_replay(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out")), "block_number") == sorted(
         [(n,) for n in range(30)], key=repr
     )
+
+
+def test_late_and_expired_rows_do_not_enter_the_live_tier(spark, tmp_path):
+    from spanledger.streaming.dedup import unexpired_stream
+
+    source = tmp_path / "in"
+    columns = "block_number BIGINT, block_timestamp TIMESTAMP"
+
+    def add(number, age):
+        spark.sql(
+            f"SELECT {number}L AS block_number, current_timestamp() - INTERVAL {age} HOURS AS block_timestamp"
+        ).coalesce(1).write.mode("append").parquet(str(source))
+
+    add(1, 1)
+    add(2, 47)
+    add(3, 49)
+    live = unexpired_stream(spark.readStream.schema(columns).parquet(str(source)), 2)
+    live.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).format(
+        "parquet"
+    ).start(str(tmp_path / "out")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "block_number") == [(1,), (2,)]
+
+
+def test_sql_names_and_catalog_table(spark, store):
+    store.append(stamped(raw_blocks(spark, 20)), "blocks", 1)
+    ops.historical(store, zone(spark, 20), 0, 20, ["blocks"], 10, as_of=AT, version=100)
+    from spanledger.sources.views import register_views
+
+    names = register_views(store, "v_")
+    assert "v_blocks" in names and "v_logs" not in names
+    assert spark.sql("SELECT count(*) FROM v_blocks WHERE insert_version = 100").first()[0] == 20
+    assert spark.sql("SELECT overall_status FROM v_indexing_progress").first()[0] == "complete"
+    assert spark.sql("SELECT continuity_description FROM v_indexing_summary").first()[0] == "fully_continuous"
+    spark.sql(store.ddl("blocks"))
+    spark.sql("MSCK REPAIR TABLE blocks")
+    try:
+        assert spark.table("blocks").filter("part_day = 20240101").count() == 8
+    finally:
+        spark.sql("DROP TABLE blocks")
+    assert store.exists("blocks")
+
+
+def test_command_line(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from spanledger.__main__ import main
+
+    raw, root = tmp_path / "raw", str(tmp_path / "tables")
+    raw.mkdir()
+    for name, df in (("blocks", raw_blocks(spark, 30)), ("transactions", raw_children(spark, 30))):
+        pq.write_table(df.toArrow(), raw / f"net__{name}__0_to_29.parquet")
+    base = ["--root", root, "--raw", str(raw), "--datasets", "blocks,transactions", "--live"]
+    assert main(["historical", *base, "--start", "0", "--end", "10"]) == 0
+    assert main(["continuous", *base, "--once"]) == 0
+    live = TableStore(spark, root, "day")
+    assert [r[1:] for r in outcome(live) if r[0] == "blocks"] == [
+        (0, 10, "completed", 20), (10, 20, "completed", 20),
+    ]
+    assert main(["validate", *base]) == 0
+    assert main(["historical", *base, "--start", "20", "--end", "40"]) == 1
+    assert main(["validate", *base]) == 1
+    live.expire_live(datetime(2024, 1, 6, 6))
+    assert rows(live.read("transactions").select(F.min("block_number"))) == [(14,)]

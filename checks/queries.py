@@ -13,6 +13,7 @@ from spanledger.functions.cleaning import clean, conform
 from spanledger.functions.columns import align_start, block_timestamp, first_block, usable_timestamp
 from spanledger.operators import coverage, enrich, metrics, quality, reorg, state as st
 from spanledger.operators.latest import latest_state, latest_wins, range_status
+from spanledger.operators.ranges import rows_in_ranges
 from spanledger.plans import operations as ops
 from spanledger.plans.ranges import confirmed, plan_ranges, safe_ranges, split_ranges
 from spanledger.plans.repair import repair_plan
@@ -474,7 +475,7 @@ def replace_ranges(spark, d):
     purchases = V.table(spark, d, "events").filter(F.col("event_type") == "purchase")
     start = F.col("event_id") - F.col("event_id") % 5
     ranges = purchases.select(start.alias("start_block"), (start + 5).alias("end_block")).distinct()
-    fresh = ops.rows_in_ranges(blocks, ranges).withColumn("block_hash", F.lit("again"))
+    fresh = rows_in_ranges(blocks, ranges).withColumn("block_hash", F.lit("again"))
     store.replace_ranges("blocks", ranges, fresh, 2)
     return store.read("blocks").select(
         "block_number", "block_hash", "block_timestamp", "insert_version"

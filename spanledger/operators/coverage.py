@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanledger.functions.columns import bucket_of, is_diff_dataset, overall_status, range_label
 from spanledger.operators.latest import latest_state, latest_status
+from spanledger.operators.ranges import merge_ranges
 from spanledger.operators.running import running_before
 from spanledger.schemas import (
     COMPLETED,
@@ -172,26 +173,6 @@ def continuous_ranges(state: DataFrame, batch_size: int = 100) -> DataFrame:
     )
 
 
-def merge_ranges(ranges: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Touching or overlapping ranges merged, per `by` group, for any lengths."""
-    starts = ranges.groupBy(*by, "start_block").agg(F.max("end_block").alias("end_block"))
-    opened = running_before(
-        starts, by, "start_block", {"__reach": ("end_block", "max")}
-    ).withColumn(
-        "__opens",
-        F.when(
-            F.col("__reach").isNull() | (F.col("start_block") > F.col("__reach")),
-            F.col("start_block"),
-        ),
-    )
-    placed = running_before(opened, by, "start_block", {"__open": ("__opens", "max")})
-    return (
-        placed.withColumn("segment_start", F.greatest("__open", "__opens"))
-        .groupBy(*by, "segment_start")
-        .agg(F.max("end_block").alias("segment_end"))
-    )
-
-
 def coverage_segments(state: DataFrame) -> DataFrame:
     """Maximal covered segments per dataset over the completed ranges."""
     return merge_ranges(_completed(state), ["dataset"]).withColumn(

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.functions.columns import bucket_of
-
-# A right side of at most this many (narrow) rows is sent to every executor.
-BROADCAST_ROWS = 500_000
+# A right side of at most this many rows is sent to every executor. Right sides here have two
+# or three long columns, so that is some 100 MB as a hash table.
+BROADCAST_ROWS = 2_000_000
 # Left keys with more rows than this are hot; at most HOT_KEYS of them are set apart. A key
 # ranked below the first 10,000 holds under 1/10,000 of the rows, no more than a usual task.
 HOT_KEY_ROWS = 1_000_000
@@ -91,45 +90,3 @@ def explode_steps(df: DataFrame, first: Column, last: Column, step: int, out: st
         )
         .drop("__coarse", "__last")
     )
-
-
-def range_pieces(ranges: DataFrame, width: int) -> DataFrame:
-    """Ranges cut at multiples of `width`: distinct (bucket, lo, hi)."""
-    wanted = (
-        ranges.select("start_block", "end_block")
-        .filter(F.col("end_block") > F.col("start_block"))
-        .distinct()
-    )
-    buckets = explode_steps(
-        wanted, bucket_of("start_block", width), bucket_of(F.col("end_block") - 1, width), 1, "__bucket"
-    )
-    return buckets.select(
-        "__bucket",
-        F.greatest("start_block", F.col("__bucket") * width).alias("__lo"),
-        F.least("end_block", (F.col("__bucket") + 1) * width).alias("__hi"),
-    ).distinct()
-
-
-def rows_in_ranges(
-    df: DataFrame,
-    ranges: DataFrame,
-    position: str = "block_number",
-    inside: bool = True,
-    width: int = 1000,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Rows whose position lies in any of the ranges (or in none, with inside=False).
-
-    Semi or anti join on the bucket, so a row is never multiplied. Few pieces are broadcast;
-    otherwise both sides shuffle by bucket and AQE splits a hot left bucket.
-    """
-    pieces = range_pieces(ranges, width)
-    if has_at_most(pieces, broadcast_rows):
-        pieces = F.broadcast(pieces)
-    p = F.col(position)
-    condition = (
-        (bucket_of(p, width) == F.col("__bucket"))
-        & (p >= F.col("__lo"))
-        & (p < F.col("__hi"))
-    )
-    return df.join(pieces, condition, "left_semi" if inside else "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from spanledger.functions.cleaning import clean, conform
 from spanledger.functions.columns import first_block
 from spanledger.operators.enrich import enrich_strict, split_blocks, validate_rows
-from spanledger.operators.joins import rows_in_ranges
+from spanledger.operators.ranges import rows_in_ranges
 from spanledger.operators.metrics import rows_per_range
 from spanledger.operators.quality import validate_report, validate_timestamps
 from spanledger.operators.state import (

@@ -7,6 +7,7 @@ take `latest_wins`, and deletes rewrite only the time partitions that hold delet
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanledger.functions.columns import timestamp_at
-from spanledger.operators.joins import rows_in_ranges
+from spanledger.operators.ranges import rows_in_ranges
 from spanledger.operators.latest import latest_wins
 from spanledger.plans.ranges import plan_ranges
 from spanledger.schemas import (
@@ -217,12 +218,18 @@ class TableStore:
         fs, p = self._fs(f"{self.path(table)}/{self.column}={name}")
         fs.delete(p, True)
 
-    def compact(self, table: str) -> None:
-        """Rewrite every partition with only the latest versions, as a merge would."""
-        if self.exists(table):
-            kept = latest_wins(self.read(table), self._key(table))
-            parts = {r[0] for r in self.read(table).select(self.column).distinct().collect()}
-            self._overwrite(kept, table, parts)
+    def compact(self, table: str, partitions: Sequence | None = None) -> None:
+        """Rewrite the table, or some of its time partitions, with only the latest versions
+        found there."""
+        if not self.exists(table):
+            return
+        stored = self.read(table)
+        if partitions is None:
+            parts = {r[0] for r in stored.select(self.column).distinct().collect()}
+        else:
+            parts = set(partitions)
+            stored = stored.filter(self._in(parts))
+        self._overwrite(latest_wins(stored, self._key(table)), table, parts)
 
     # -- retention ------------------------------------------------------------------------
     def expire(self, table: str, as_of: datetime, keep_days: int) -> None:

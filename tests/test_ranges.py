@@ -5,8 +5,9 @@ import random
 import pytest
 
 from spanledger.operators import joins
-from spanledger.operators.coverage import block_islands, continuous_ranges, coverage_segments, merge_ranges
+from spanledger.operators.coverage import block_islands, continuous_ranges, coverage_segments
 from spanledger.operators.quality import validate_timestamps
+from spanledger.operators.ranges import merge_ranges
 from spanledger.operators.running import running_before, sum_over_ranges
 from spanledger.plans.ranges import plan_ranges, safe_ranges, split_ranges
 from spanledger.plans.repair import without_overlap

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from spanledger.functions.cleaning import clean, conform
 from spanledger.functions.columns import align_start, first_block, usable_timestamp
 from spanledger.operators import enrich
-from spanledger.operators.joins import join_unique, rows_in_ranges
+from spanledger.operators.joins import join_unique
+from spanledger.operators.ranges import rows_in_ranges
 from spanledger.operators.latest import latest_state, latest_wins, range_status
 from spanledger.operators.quality import check_schema, sample_bad_blocks
 from spanledger.operators.reorg import detect_reorg
@@ -66,8 +67,11 @@ def test_join_unique_is_a_plain_join_whatever_the_way(spark, how, broadcast_rows
     assert rows(got) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_rows_in_ranges(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_rows, span_buckets", [(0, 100), (1000, 100), (21, 100), (5, 2)])
+def test_rows_in_ranges(spark, broadcast_rows, span_buckets, monkeypatch):
+    from spanledger.operators import ranges as module
+
+    monkeypatch.setattr(module, "SPAN_BUCKETS", span_buckets)
     df = spark.range(0, 50).withColumnRenamed("id", "block_number")
     ranges = spark.createDataFrame([(3, 17), (5, 9), (30, 31), (40, 40), (48, 99)], RANGE)
     inside = {*range(3, 17), 30, 48, 49}

@@ -59,6 +59,8 @@ def test_append_counts_and_reads_latest(spark, store):
     assert store.read("blocks").count() == 45
     assert rows(store.latest("blocks").groupBy("insert_version").count()) == [(1, 15), (2, 5)]
     latest = rows(store.latest("blocks"))
+    store.compact("blocks", [20240101])
+    assert rows(store.read("blocks").groupBy("part_day").count())[:2] == [(20240101, 4), (20240102, 9)]
     store.compact("blocks")
     assert store.read("blocks").count() == 20
     assert rows(store.latest("blocks")) == latest

@@ -17,7 +17,7 @@ def usable_parents(blocks: DataFrame) -> DataFrame:
     filter reaches the scan and the aggregate combines versions before the shuffle.
     """
     return (
-        blocks.filter(usable_timestamp() & F.col("block_number").isNotNull())
+        blocks.filter((F.col("timestamp") > EPOCH_FLOOR_SECONDS) & F.col("block_number").isNotNull())
         .groupBy("block_number")
         .agg(F.max_by("timestamp", "insert_version").alias("timestamp"))
     )

@@ -74,18 +74,17 @@ def explode_steps(df: DataFrame, first: Column, last: Column, step: int, out: st
     nor one task has to hold all steps of a very long range.
     """
     coarse = step * STEPS_PER_ARRAY
+    at, end = F.col("__coarse"), F.col("__last")
+    # sequence() refuses to run backwards, even for a row that a filter is about to drop.
     return (
         df.withColumn("__last", last)
-        .withColumn("__coarse", F.explode(F.sequence(first, F.col("__last"), F.lit(coarse))))
-        .repartition(F.col("__coarse"))
+        .withColumn("__coarse", F.explode(F.sequence(first, F.greatest(first, end), F.lit(coarse))))
+        .filter(at <= end)
+        .repartition(at)
         .withColumn(
             out,
             F.explode(
-                F.sequence(
-                    F.col("__coarse"),
-                    F.least(F.col("__coarse") + F.lit(coarse - step), F.col("__last")),
-                    F.lit(step),
-                )
+                F.sequence(at, F.greatest(at, F.least(at + F.lit(coarse - step), end)), F.lit(step))
             ),
         )
         .drop("__coarse", "__last")

@@ -130,7 +130,8 @@ def load_plan(
         ),
     )
     checked = todo.join(gate, ["start_block", "end_block"]).select(*STATE_KEY, "ok", "message")
-    checked = _written(store, checked, f"gate-{version}")
+    gate_table = f"gate-{version}"
+    checked = store.put_work(checked, gate_table)
     is_block_range = F.col("dataset") == "blocks"
     failed = checked.filter(~F.col("ok")).select(
         *STATE_KEY,
@@ -159,6 +160,7 @@ def load_plan(
             broken = good.select(*STATE_KEY, F.lit(str(error)).alias("error_message"))
             outcome = fail_ranges(store.state(), broken, as_of, version + 1)
         store.append_state(outcome)
+    store.drop_work(gate_table)
 
 
 def _completed(ranges: DataFrame, loaded: DataFrame, as_of: str, version: int) -> DataFrame:
@@ -179,12 +181,6 @@ def _with_columns(rows: DataFrame, name: str) -> DataFrame:
     return conform(rows, name, keep=TABLES[name].extra_input)
 
 
-def _written(store: TableStore, df: DataFrame, name: str) -> DataFrame:
-    path = store.path(f"_work/{name}")
-    df.write.mode("overwrite").parquet(path)
-    return store.spark.read.schema(df.schema).parquet(path)
-
-
 def historical(
     store: TableStore, raw: RawZone, start: int, end: int, datasets: Sequence[str], batch: int = 100, **how
 ) -> None:
@@ -217,10 +213,11 @@ def auto_maintain(
     plan = repair_plan(
         store.state(), "auto", datasets, batch=batch, lookback_hours=lookback_hours, min_gap=min_gap
     )
-    plan = _written(store, plan, f"repair-{version}")
+    plan = store.put_work(plan, f"repair-{version}")
     empty = plan.filter(F.col("reason") == "zero_rows")
     store.append_state(mark_reprocess(empty, as_of, version + 1))
     load_plan(store, raw, plan, "auto_maintain", as_of, version + 2, replace=True)
+    store.drop_work(f"repair-{version}")
 
 
 def validate(

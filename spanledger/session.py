@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # Runtime settings; none of them is a size, so they hold on any cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # a value past the declared type is an error, not NULL
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -166,7 +166,23 @@ class TableStore:
         staged = work_folder(self.spark, f"replace-{table}")
         rows.write.parquet(staged)
         self.delete_ranges(table, ranges, related=False)
-        return self.append(self.spark.read.parquet(staged), table, version)
+        appended = self.append(self.spark.read.schema(rows.schema).parquet(staged), table, version)
+        self._remove(staged)
+        return appended
+
+    # -- work tables ----------------------------------------------------------------------
+    def put_work(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate result, so that later steps read it instead of its plan."""
+        path = self.path(f"_work/{name}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_work(self, name: str) -> None:
+        self._remove(self.path(f"_work/{name}"))
+
+    def _remove(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
 
     def _rewrite_without(self, table: str, ranges: DataFrame) -> int:
         if not self.exists(table):
@@ -215,8 +231,7 @@ class TableStore:
 
     def _drop_partition(self, table: str, value) -> None:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        fs, p = self._fs(f"{self.path(table)}/{self.column}={name}")
-        fs.delete(p, True)
+        self._remove(f"{self.path(table)}/{self.column}={name}")
 
     def compact(self, table: str, partitions: Sequence | None = None) -> None:
         """Rewrite the table, or some of its time partitions, with only the latest versions

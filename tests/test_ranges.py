@@ -96,6 +96,7 @@ def test_plan_and_safe_ranges(spark):
     assert rows(safe_ranges(head, 300, 100, 13)) == []
     low = spark.createDataFrame([(5,)], "head_block BIGINT")
     assert rows(safe_ranges(low, 0, 100, 12)) == []
+    assert rows(safe_ranges(spark.sql("SELECT 30L AS head_block"), 30, 10, 0)) == []
 
 
 @pytest.mark.parametrize("seed", range(3))

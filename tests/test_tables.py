@@ -248,16 +248,20 @@ def test_stream_equals_batch(spark, store, tmp_path):
     assert rows(journal, "batch_id", "head_block") == [(0, 12), (1, 30), (2, 46)]
 
 
-def test_stream_gives_up_after_retries_and_replays_a_batch(spark, store):
+def test_stream_retries_gives_up_and_replays_a_batch(spark, store):
     raw = zone(spark, 40, bad=[13])
-    for batch_id in range(5):
-        head = spark.createDataFrame([(30,)], "block_number BIGINT")
+    head = spark.createDataFrame([(30,)], "block_number BIGINT")
+    for batch_id in (0, 0, 1, 2):  # the second call is a replay
         ingest_batch(store, raw, head, batch_id, NAMES, batch_size=10, confirmations=0, max_retries=2)
     state = latest_state(store.state())
     assert rows(state.filter("status = 'failed'"), "dataset", "start_block", "attempt_count") == [
-        ("blocks", 10, 1), ("transactions", 10, 1),
+        ("blocks", 10, 2), ("transactions", 10, 2),
     ]
     assert rows(state.filter("dataset = 'blocks' AND status = 'completed'"), "start_block") == [(0,), (20,)]
+    again = zone(spark, 40)
+    ingest_batch(store, again, head, 3, NAMES, batch_size=10, confirmations=0, max_retries=3)
+    assert {r[3:] for r in outcome(store)} == {("completed", 20)}
+    assert store.latest("blocks").filter("timestamp IS NULL").count() == 0
 
 
 def test_stream_dedup_keeps_the_first_of_a_replay(spark, tmp_path):

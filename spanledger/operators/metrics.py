@@ -75,8 +75,8 @@ def duration_histogram(state: DataFrame, buckets: Sequence[float] = DURATION_BUC
 
 def rows_per_range(rows: DataFrame, ranges: DataFrame, position: str = "block_number") -> DataFrame:
     """rows_indexed for every requested range, 0 where nothing was loaded."""
-    ones = rows.select(position).withColumn("rows_indexed", F.lit(1))
-    return sum_over_ranges(ones, ranges, position, ["rows_indexed"])
+    ones = rows.select(position).withColumn("__one", F.lit(1))
+    return sum_over_ranges(ones, ranges, position, {"rows_indexed": F.count("__one")})
 
 
 def rows_per_batch(rows: DataFrame, batch: int, position: str = "block_number") -> DataFrame:

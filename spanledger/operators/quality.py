@@ -20,15 +20,18 @@ def validate_timestamps(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
     ok: every block is there with a usable timestamp; invalid: all there, some unusable;
     not_visible: some are not there. All ranges are answered by one pass over the blocks.
     """
-    newest = blocks.groupBy("block_number").agg(
-        F.max_by("timestamp", "insert_version").alias("timestamp")
+    points = blocks.select(
+        "block_number", "insert_version", usable_timestamp().cast("int").alias("usable")
     )
-    points = newest.select(
+    counted = sum_over_ranges(
+        points,
+        ranges,
         "block_number",
-        F.lit(1).alias("present"),
-        usable_timestamp().cast("int").alias("valid"),
+        {
+            "present": F.least(F.count("usable"), F.lit(1)),
+            "valid": F.max_by("usable", "insert_version"),  # the latest version decides
+        },
     )
-    counted = sum_over_ranges(points, ranges, "block_number", ["present", "valid"])
     expected = F.greatest(F.col("end_block") - F.col("start_block"), F.lit(0).cast("bigint"))
     empty = expected == 0
     return counted.select(

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanledger.functions.columns import bucket_of
@@ -76,38 +76,48 @@ def running_before(
     return joined.drop("__bucket", *[f"__carry_{out}" for out in values])
 
 
+def at_marks(df: DataFrame, by: Sequence[str], position: str, values: dict, width: int = BUCKET_WIDTH) -> DataFrame:
+    """`running_before`, for the rows with `__mark` = 1 only.
+
+    The running maximum of the mark is always positive or NULL. Asking for it makes both
+    passes over `df` want the same columns, so that Spark runs the shuffle below them once.
+    """
+    running = running_before(df, by, position, values | {"__mark_before": ("__mark", "max")}, width=width)
+    return running.filter(
+        (F.col("__mark") == 1) & (F.coalesce("__mark_before", F.lit(0)) >= 0)
+    ).drop("__mark", "__mark_before")
+
+
 def sum_over_ranges(
     points: DataFrame,
     ranges: DataFrame,
     position: str,
-    measures: Sequence[str],
+    measures: dict[str, Column],
     width: int = BUCKET_WIDTH,
 ) -> DataFrame:
-    """Totals of `measures` over the points inside each distinct range [start, end).
+    """Totals over the points inside each distinct range [start, end).
 
-    Total = running total at end - running total at start, so ranges may overlap, nest or
-    have any length, and no (point, range) pair is ever formed.
+    `measures` are aggregates over all points of one position, 0 or NULL over no points; the
+    result is their sum over the positions of the range. Total = running total at end -
+    running total at start, so ranges may overlap, nest or have any length, and no (point,
+    range) pair is ever formed.
     """
     wanted = ranges.select("start_block", "end_block").distinct()
-    marks = wanted.select(F.explode(F.array("start_block", "end_block")).alias(position)).select(
-        position, *[F.lit(0).cast("bigint").alias(m) for m in measures], F.lit(1).alias("__mark")
+    marks = wanted.select(
+        F.explode(F.array("start_block", "end_block")).alias(position), F.lit(1).alias("__mark")
     )
     per_position = (
-        points.select(position, *[F.col(m).cast("bigint").alias(m) for m in measures])
-        .filter(F.col(position).isNotNull())
-        .withColumn("__mark", F.lit(0))
-        .unionByName(marks)
+        points.withColumn("__mark", F.lit(0))
+        .unionByName(marks, allowMissingColumns=True)
         .groupBy(position)
-        .agg(*[F.sum(m).alias(m) for m in measures], F.max("__mark").alias("__mark"))
-    )
-    # The mark is carried along only so that both passes over per_position read the same
-    # columns, which lets Spark run its shuffle once.
-    running = {f"__b_{m}": (m, "sum") for m in measures} | {"__b_mark": ("__mark", "max")}
-    before = (
-        running_before(per_position, [], position, running, width=width)
-        .filter(F.col("__mark") == 1)
-        .select(position, *[f"__b_{m}" for m in measures])
+        .agg(
+            *[F.coalesce(m, F.lit(0)).cast("bigint").alias(name) for name, m in measures.items()],
+            F.max("__mark").alias("__mark"),
+        )
     )
+    before = at_marks(
+        per_position, [], position, {f"__b_{m}": (m, "sum") for m in measures}, width
+    ).select(position, *[f"__b_{m}" for m in measures])
     ends = wanted.select(
         "start_block",
         "end_block",

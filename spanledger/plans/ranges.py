@@ -50,9 +50,12 @@ def safe_ranges(head: DataFrame, next_block: int, batch: int, confirmations: int
     )
 
 
-def confirmed(df: DataFrame, head: DataFrame, confirmations: int, position: str = "block_number") -> DataFrame:
-    """Rows at least `confirmations` below the head; `head` is a single row."""
-    return (
-        df.join(F.broadcast(head), F.col(position) <= F.col("head_block") - confirmations, "inner")
-        .drop("head_block")
-    )
+def confirmed(
+    df: DataFrame, head: DataFrame, confirmations: int, position: str = "block_number"
+) -> DataFrame:
+    """Rows at least `confirmations` below the head; `head` is a single row.
+
+    The bound is a scalar subquery, so it becomes a filter value and no join.
+    """
+    bound = head.select(F.col("head_block") - confirmations).scalar()
+    return df.filter(F.col(position) <= bound)

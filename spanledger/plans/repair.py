@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spanledger.operators.coverage import find_gaps, highest_attempted, non_completed_ranges
 from spanledger.operators.latest import last_events
 from spanledger.operators.quality import is_empty
-from spanledger.operators.running import positioned, running_before
+from spanledger.operators.running import at_marks, positioned
 from spanledger.plans.ranges import split_ranges
 from spanledger.schemas import BLOCKS_PER_HOUR, DATASETS, FAILED, PROCESSING, STATE_KEY
 
@@ -42,15 +42,8 @@ def without_overlap(candidates: DataFrame, busy: DataFrame) -> DataFrame:
         .groupBy("dataset", "__at")
         .agg(F.max("__reach").alias("__reach"), F.max("__mark").alias("__mark"))
     )
-    reach = (
-        running_before(
-            points,
-            ["dataset"],
-            "__at",
-            {"__busy_until": ("__reach", "max"), "__marked": ("__mark", "max")},
-        )
-        .filter(F.col("__mark") == 1)
-        .select("dataset", F.col("__at").alias("end_block"), "__busy_until")
+    reach = at_marks(points, ["dataset"], "__at", {"__busy_until": ("__reach", "max")}).select(
+        "dataset", F.col("__at").alias("end_block"), "__busy_until"
     )
     return (
         candidates.join(reach, ["dataset", "end_block"], "left")

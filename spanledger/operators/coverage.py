@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spanledger.functions.columns import bucket_of, is_diff_dataset, overall_status, range_label
 from spanledger.operators.latest import latest_state, latest_status
 from spanledger.operators.ranges import merge_ranges
-from spanledger.operators.running import running_before
+from spanledger.operators.running import positioned, running_before
 from spanledger.schemas import (
     COMPLETED,
     DATASETS,
@@ -273,12 +273,15 @@ def find_gaps(
             (F.col("start_block") >= F.col("lo")) & (F.col("end_block") <= F.col("hi"))
         )
 
-    completed = inside(events.filter(status == COMPLETED))
-    holes = running_before(
-        completed.groupBy("dataset", "lo", "start_block").agg(F.max("end_block").alias("end_block")),
+    completed = positioned(
+        inside(events.filter(status == COMPLETED))
+        .groupBy("dataset", "lo", "start_block")
+        .agg(F.max("end_block").alias("end_block")),
         ["dataset"],
         "start_block",
-        {"__reach": ("end_block", "max")},
+    )
+    holes = running_before(
+        completed, ["dataset"], "start_block", {"__reach": ("end_block", "max")}
     ).select(
         "dataset",
         F.greatest("lo", "__reach").alias("gap_start"),

@@ -1,12 +1,13 @@
 """Versioned Parquet tables below one root: append, delete, replace, expire.
 
 Layout: <root>/<table>/<partition column>=<value>/. Plain Parquet has no merge, so readers
-take `latest_wins`, and deletes rewrite only the time partitions that hold deleted rows.
+take `latest_wins`, and deletes rewrite only the files that hold deleted rows.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
@@ -48,6 +49,22 @@ def with_partition(df: DataFrame, unit: str = "month", stamp: str = "block_times
     return df.withColumn(PARTITIONS[unit][0], partition_value(unit, stamp))
 
 
+# Files that one rewrite job of a delete takes on; their names pass through the driver.
+FILES_PER_REWRITE = 10_000
+
+
+def _chunks(sized: list[tuple[object, int]], limit: int) -> list[list]:
+    """Values packed in order into lists whose sizes add up to at most `limit` each."""
+    out, room = [], 0
+    for value, size in sized:
+        if size > room or not out:
+            out.append([])
+            room = limit
+        out[-1].append(value)
+        room -= size
+    return out
+
+
 class TableStore:
     """Tables of one tier: "month" partitions are the permanent tier, "day" the live one."""
 
@@ -184,67 +201,71 @@ class TableStore:
         fs, p = self._fs(path)
         fs.delete(p, True)
 
+    # -- rewriting files ------------------------------------------------------------------
+    # A rewrite writes the rows to keep as new files and then removes the old files it read.
+    # Files that others add meanwhile are not touched, so a loader may run beside it. Until
+    # the old files are gone a reader sees rows twice under one version, as after a replay.
     def _rewrite_without(self, table: str, ranges: DataFrame) -> int:
         if not self.exists(table):
             return 0
-        stored = self.read(table)
+        located = self.read(table).select(
+            "block_number", self.column, F.col("_metadata.file_path").alias("file")
+        )
+        work = f"delete-{uuid.uuid4().hex}"
+        hits = self.put_work(
+            rows_in_ranges(located, ranges)
+            .groupBy(self.column, "file")
+            .agg(F.count(F.lit(1)).alias("rows")),
+            work,
+        )
         # One row per touched calendar month (or day): a short list by its nature.
-        touched = {
-            r[self.column]: r["rows"]
-            for r in rows_in_ranges(stored, ranges)
-            .groupBy(self.column)
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .collect()
-        }
-        if not touched:
-            return 0
-        kept = rows_in_ranges(stored.filter(self._in(touched)), ranges, inside=False)
-        self._overwrite(kept, table, set(touched))
-        return sum(touched.values())
+        parts = hits.groupBy(self.column).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+        touched = parts.collect()
+        for chunk in _chunks([(r[self.column], r["files"]) for r in touched], FILES_PER_REWRITE):
+            files = [r[0] for r in hits.filter(self._in(chunk)).select("file").collect()]
+            kept = rows_in_ranges(self._read_files(table, files), ranges, inside=False)
+            self._replace_files(kept, table, files)
+        self.drop_work(work)
+        return sum(r["rows"] for r in touched)
 
     def _in(self, values) -> Column:
         c = F.col(self.column)
         known = c.isin([v for v in values if v is not None])
         return known | c.isNull() if None in values else known
 
-    def _overwrite(self, kept: DataFrame, table: str, touched: set) -> None:
-        """Replace the touched partitions with `kept`, which may read from them.
+    def _partitions(self, table: str) -> list:
+        return [r[0] for r in self.read(table).select(self.column).distinct().collect()]
 
-        A dynamic overwrite writes beside the table and moves partitions in at job commit, so
-        a failed job changes nothing. It leaves a partition alone that gets no rows; those
-        are removed afterwards.
-        """
-        seen = Observation()
-        (
-            kept.hint("rebalance", self.column)
-            .sortWithinPartitions(self.column, *self._key(table))
-            .observe(seen, F.collect_set(F.coalesce(F.col(self.column).cast("string"), F.lit(""))).alias("parts"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.column)
-            .parquet(self.path(table))
-        )
-        filled = set(seen.get["parts"] or [])
-        for value in touched:
-            if ("" if value is None else str(value)) not in filled:
-                self._drop_partition(table, value)
+    def _files_of(self, table: str, partition) -> list[str]:
+        rows = self.read(table).filter(self._in([partition]))
+        return [r[0] for r in rows.select("_metadata.file_path").distinct().collect()]
+
+    def _read_files(self, table: str, files: list[str]) -> DataFrame:
+        jvm = self.spark._jvm
+        paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in files]
+        schema = self.read(table).schema
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+
+    def _replace_files(self, kept: DataFrame, table: str, files: list[str]) -> None:
+        self._laid_out(kept, table).write.mode("append").partitionBy(self.column).parquet(self.path(table))
+        jvm = self.spark._jvm
+        for file in files:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, False)
 
     def _drop_partition(self, table: str, value) -> None:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
         self._remove(f"{self.path(table)}/{self.column}={name}")
 
     def compact(self, table: str, partitions: Sequence | None = None) -> None:
-        """Rewrite the table, or some of its time partitions, with only the latest versions
-        found there."""
+        """Rewrite time partitions (all by default) with only the latest versions found in each."""
         if not self.exists(table):
             return
-        stored = self.read(table)
-        if partitions is None:
-            parts = {r[0] for r in stored.select(self.column).distinct().collect()}
-        else:
-            parts = set(partitions)
-            stored = stored.filter(self._in(parts))
-        self._overwrite(latest_wins(stored, self._key(table)), table, parts)
+        for value in self._partitions(table) if partitions is None else partitions:
+            files = self._files_of(table, value)
+            if files:
+                kept = latest_wins(self._read_files(table, files), self._key(table))
+                self._replace_files(kept, table, files)
 
     # -- retention ------------------------------------------------------------------------
     def expire(self, table: str, as_of: datetime, keep_days: int) -> None:
@@ -254,12 +275,13 @@ class TableStore:
         stamp = self._stamp(table)
         cutoff = as_of - timedelta(days=keep_days)
         edge = int(cutoff.strftime("%Y%m%d")) if self.unit == "day" else cutoff.date().replace(day=1)
-        stored = self.read(table)
-        for row in stored.select(self.column).distinct().collect():
-            if row[0] is not None and row[0] < edge:
-                self._drop_partition(table, row[0])
-        at_edge = self.read(table).filter(F.col(self.column) == F.lit(edge))
-        self._overwrite(unexpired(at_edge, stamp, as_of, keep_days), table, {edge})
+        for value in self._partitions(table):
+            if value is not None and value < edge:
+                self._drop_partition(table, value)
+        files = self._files_of(table, edge)
+        if files:
+            kept = unexpired(self._read_files(table, files), stamp, as_of, keep_days)
+            self._replace_files(kept, table, files)
 
     def expire_live(self, as_of: datetime) -> None:
         """Retention of the live tier; state outlives the data it describes."""

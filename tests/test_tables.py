@@ -66,6 +66,30 @@ def test_append_counts_and_reads_latest(spark, store):
     assert rows(store.latest("blocks")) == latest
 
 
+def test_rewrites_leave_rows_alone_that_are_added_meanwhile(spark, store, monkeypatch):
+    store.append(stamped(raw_blocks(spark, 20)), "blocks", 1)
+    real = TableStore._replace_files
+
+    def late(self, kept, table, files):
+        self.append(stamped(raw_blocks(spark, 3)), table, 7)  # another loader, same days
+        real(self, kept, table, files)
+
+    monkeypatch.setattr(TableStore, "_replace_files", late)
+    store.delete_range("blocks", 0, 10)
+    assert rows(store.read("blocks"), "block_number", "insert_version") == sorted(
+        [(n, 1) for n in range(10, 20)] + [(n, 7) for n in range(3)], key=repr
+    )
+    store.compact("blocks", [20240101])
+    assert store.read("blocks").filter("insert_version = 7").count() == 6
+
+
+def test_partitions_are_packed_by_their_files():
+    from spanledger.sources.tables import _chunks
+
+    assert _chunks([("a", 4), ("b", 5), ("c", 2), ("d", 30), ("e", 1)], 10) == [["a", "b"], ["c"], ["d"], ["e"]]
+    assert _chunks([], 10) == []
+
+
 def test_reading_a_table_nobody_wrote(store):
     assert store.read("logs").count() == 0
     assert store.delete_range("logs", 0, 10) == 0

@@ -236,9 +236,10 @@ class TableStore:
     def _partitions(self, table: str) -> list:
         return [r[0] for r in self.read(table).select(self.column).distinct().collect()]
 
-    def _files_of(self, table: str, partition) -> list[str]:
-        rows = self.read(table).filter(self._in([partition]))
-        return [r[0] for r in rows.select("_metadata.file_path").distinct().collect()]
+    def _files_of(self, table: str, partitions: Sequence) -> DataFrame:
+        """(partition value, file) of the files that hold rows of the partitions."""
+        rows = self.read(table).filter(self._in(partitions))
+        return rows.select(self.column, F.col("_metadata.file_path").alias("file")).distinct()
 
     def _read_files(self, table: str, files: list[str]) -> DataFrame:
         jvm = self.spark._jvm
@@ -258,14 +259,16 @@ class TableStore:
         self._remove(f"{self.path(table)}/{self.column}={name}")
 
     def compact(self, table: str, partitions: Sequence | None = None) -> None:
-        """Rewrite time partitions (all by default) with only the latest versions found in each."""
+        """Rewrite time partitions (all by default) with only the latest versions found there."""
         if not self.exists(table):
             return
-        for value in self._partitions(table) if partitions is None else partitions:
-            files = self._files_of(table, value)
-            if files:
-                kept = latest_wins(self._read_files(table, files), self._key(table))
-                self._replace_files(kept, table, files)
+        wanted = self._partitions(table) if partitions is None else list(partitions)
+        located = self._files_of(table, wanted)
+        sizes = located.groupBy(self.column).agg(F.count(F.lit(1)).alias("files")).collect()
+        for chunk in _chunks([tuple(r) for r in sizes], FILES_PER_REWRITE):
+            files = [r.file for r in located.filter(self._in(chunk)).collect()]
+            kept = latest_wins(self._read_files(table, files), self._key(table))
+            self._replace_files(kept, table, files)
 
     # -- retention ------------------------------------------------------------------------
     def expire(self, table: str, as_of: datetime, keep_days: int) -> None:
@@ -278,7 +281,7 @@ class TableStore:
         for value in self._partitions(table):
             if value is not None and value < edge:
                 self._drop_partition(table, value)
-        files = self._files_of(table, edge)
+        files = [r.file for r in self._files_of(table, [edge]).collect()]
         if files:
             kept = unexpired(self._read_files(table, files), stamp, as_of, keep_days)
             self._replace_files(kept, table, files)

@@ -146,8 +146,7 @@ def _state_row(status: str, **values: str) -> str:
     """Select list of a state row around dataset, start_block, end_block."""
     row = {
         "status": f"'{status}'", "worker_id": "''", "attempt_count": "0",
-        "created_at": f"TIMESTAMP '{V.AS_OF}'", "completed_at": "CAST(NULL AS TIMESTAMP)",
-        "rows_indexed": "CAST(NULL AS BIGINT)", "error_message": "CAST(NULL AS VARCHAR)",
+        "created_at": f"TIMESTAMP '{V.AS_OF}'", "error_message": "CAST(NULL AS VARCHAR)",
         "insert_version": f"CAST({VERSION} AS BIGINT)",
     } | values
     return "dataset, start_block, end_block, " + ", ".join(f"{v} AS {k}" for k, v in row.items())
@@ -231,11 +230,12 @@ WHERE event_id >= (SELECT max(event_id) // 4 FROM events)
   CASE WHEN length(html) > 0 THEN lower(hex(encode(html))) END AS html,
   CASE WHEN length(url) <= 30 AND length(url) > 0 THEN lower(hex(encode(url))) END AS url FROM pages""",
     "clean_blocks": _with(BLOCKS) + "SELECT block_number, block_hash, timestamp FROM blocks",
-    "conform_schema": _with(TXS) + f"SELECT {TX_COLUMNS}, CAST(NULL AS BIGINT) AS nonce FROM txs",
+    "conform_schema": _with(TXS) + f"SELECT {TX_COLUMNS}, CAST(NULL AS VARCHAR) AS to_address FROM txs",
     "usable_timestamps": _with(DEFECTS) + f"""SELECT block_number, {USABLE} AS usable,
   CASE WHEN {USABLE} THEN {STAMP} END AS block_timestamp FROM blocks""",
     "latest_txs": _with(TXS, NEWEST) + f"SELECT {TX_COLUMNS} FROM newest",
-    "latest_state": _with(STATE, LATEST) + "SELECT * FROM latest",
+    "latest_state": _with(STATE, LATEST)
+    + "SELECT * REPLACE (coalesce(rows_indexed, -1) AS rows_indexed) FROM latest",
     "range_status": _with(STATE, LATEST) + """SELECT dataset, start_block, end_block, status FROM latest
 WHERE dataset = 'transactions' AND start_block = 10000 AND end_block = 10100""",
     "enrich_strict": _with(TXS, BLOCKS) + """SELECT t.block_number, transaction_index, gas_limit,
@@ -419,12 +419,13 @@ FROM blocks LEFT JOIN again ON block_number // 5 = b""",
     "compact_table": """SELECT event_id AS block_number,
   CAST(CASE WHEN user_id >= 200 THEN 3 WHEN user_id >= 100 THEN 2 ELSE 1 END AS BIGINT) AS insert_version
 FROM events""",
-    "historical_state": _with(*LOAD) + "SELECT * FROM loaded",
+    "historical_state": _with(*LOAD)
+    + "SELECT * REPLACE (coalesce(rows_indexed, -1) AS rows_indexed) FROM loaded",
     "historical_rows": _with(*LOAD) + LOADED_ROWS,
     "maintain_state": REPAIRED,
     "auto_maintain_state": REPAIRED,
-    "stream_ingest_state": _with(*STREAM) + """SELECT dataset, start_block, end_block, status, rows_indexed,
-  error_message FROM loaded""",
+    "stream_ingest_state": _with(*STREAM) + """SELECT dataset, start_block, end_block, status,
+  coalesce(rows_indexed, -1) AS rows_indexed, error_message FROM loaded""",
     "stream_ingest_rows": _with(*STREAM) + LOADED_ROWS,
     "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
 }

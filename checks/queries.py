@@ -48,6 +48,16 @@ def _store(spark: SparkSession, name: str, unit: str = "month") -> TableStore:
     return TableStore(spark, work_folder(spark, name), unit)
 
 
+def _no_null_count(df: DataFrame) -> DataFrame:
+    """-1 for "no row count": integer columns with NULLs look different per client."""
+    return df.withColumn("rows_indexed", F.coalesce("rows_indexed", F.lit(-1)))
+
+
+def _event(df: DataFrame) -> DataFrame:
+    """State rows without the columns that only completed rows fill."""
+    return df.drop("completed_at", "rows_indexed")
+
+
 # -- sources ------------------------------------------------------------------------------
 def read_dataset(spark, d):
     return (
@@ -130,7 +140,7 @@ def clean_blocks(spark, d):
 def conform_schema(spark, d):
     rows = _txs(spark, d).withColumn("block_number", F.col("block_number").cast("int"))
     return conform(rows, "transactions").select(
-        "block_number", "transaction_index", "gas_limit", "gas_used", "value_f64", "input", "nonce"
+        "block_number", "transaction_index", "gas_limit", "gas_used", "value_f64", "input", "to_address"
     )
 
 
@@ -148,7 +158,7 @@ def latest_txs(spark, d):
 
 
 def latest_range_state(spark, d):
-    return latest_state(_state(spark, d))
+    return _no_null_count(latest_state(_state(spark, d)))
 
 
 def point_status(spark, d):
@@ -284,7 +294,7 @@ def stuck_ranges(spark, d):
 
 
 def recover_stuck(spark, d):
-    return st.recover_stuck(_state(spark, d), V.AS_OF, VERSION, 24 * 30)
+    return _event(st.recover_stuck(_state(spark, d), V.AS_OF, VERSION, 24 * 30))
 
 
 def claim_ranges(spark, d):
@@ -295,7 +305,7 @@ def claim_ranges(spark, d):
         (F.col("c_custkey") * 100).alias("start_block"),
         (F.col("c_custkey") * 100 + 100).alias("end_block"),
     )
-    return st.claim_ranges(_state(spark, d), wanted, "w1", V.AS_OF, VERSION)
+    return _event(st.claim_ranges(_state(spark, d), wanted, "w1", V.AS_OF, VERSION))
 
 
 def complete_ranges(spark, d):
@@ -313,7 +323,7 @@ def fail_ranges(spark, d):
         .filter(F.col("status") == "processing")
         .select(*STATE_KEY, F.repeat(F.concat("dataset", F.lit(" broke; ")), 50).alias("error_message"))
     )
-    return st.fail_ranges(state, failures, V.AS_OF, VERSION)
+    return _event(st.fail_ranges(state, failures, V.AS_OF, VERSION))
 
 
 def fail_dependents(spark, d):
@@ -323,11 +333,11 @@ def fail_dependents(spark, d):
         .filter(~F.col("ok"))
         .select("start_block", "end_block", "reason")
     )
-    return st.fail_dependents(_state(spark, d), bad, V.DATASETS, V.AS_OF, VERSION)
+    return _event(st.fail_dependents(_state(spark, d), bad, V.DATASETS, V.AS_OF, VERSION))
 
 
 def mark_reprocess(spark, d):
-    return st.mark_reprocess(zero_row_ranges(spark, d), V.AS_OF, VERSION)
+    return _event(st.mark_reprocess(zero_row_ranges(spark, d), V.AS_OF, VERSION))
 
 
 # -- planning -----------------------------------------------------------------------------
@@ -520,7 +530,7 @@ def _historical_store(spark, d):
 
 
 def historical_state(spark, d):
-    return latest_state(_historical_store(spark, d).state()).drop("insert_version")
+    return _no_null_count(latest_state(_historical_store(spark, d).state())).drop("insert_version")
 
 
 def historical_rows(spark, d):
@@ -563,7 +573,7 @@ def _ingested(spark, d):
 
 
 def stream_ingest_state(spark, d):
-    return latest_state(_ingested(spark, d).state()).select(
+    return _no_null_count(latest_state(_ingested(spark, d).state())).select(
         *STATE_KEY, "status", "rows_indexed", "error_message"
     )
 

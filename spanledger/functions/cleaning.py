@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from spanledger.schemas import TABLES, UNWANTED_BLOCK_COLUMNS
 
+# Nothing but white space, in Unicode's sense and with the four ASCII separators.
+BLANK = r"(?U)^[\s\x1c-\x1f]*+$"
+
 
 def clean(df: DataFrame, table: str | None = None) -> DataFrame:
     """One projection: NaN and blank text become NULL, binary becomes lower-case hex.
@@ -30,7 +33,7 @@ def clean(df: DataFrame, table: str | None = None) -> DataFrame:
         elif isinstance(field.dataType, T.BinaryType):
             c = F.when(F.length(c) > 0, F.lower(F.hex(c)))
         elif isinstance(field.dataType, T.StringType):
-            c = F.when(~c.rlike(r"^\s*$"), c)
+            c = F.when(~c.rlike(BLANK), c)
         out.append(c.alias(field.name))
     return df.select(*out)
 

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",  # a value past the declared type is an error, not NULL
+    "spark.sql.variant.allowDuplicateKeys": "true",  # the last one counts
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

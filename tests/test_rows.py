@@ -96,6 +96,9 @@ def test_clean(spark):
     assert rows(out) == [
         (1, None, 1.5, "ab01"), (2, None, None, None), (3, " x ", None, None), (4, None, math.inf, "00"),
     ]
+    odd = [("\u00a0\u3000\u2028",), ("\x1c\x1f",), ("\n",), ("\u200b",), ("a\n",), ("\n\n b",)]
+    kept = clean(spark.createDataFrame(odd, "t STRING"))
+    assert [r[0] for r in kept.collect()] == [None if t.strip() == "" else t for (t,) in odd]
     dropped = clean(df.withColumn("difficulty", F.lit(1)), "blocks")
     assert "difficulty" not in dropped.columns
     assert "difficulty" in clean(df.withColumn("difficulty", F.lit(1)), "logs").columns
@@ -160,6 +163,8 @@ def test_explode_withdrawals(spark):
         None, "", "[]", "null", "[bad", '{"index":"0x1"}',
         '[{"index":"0x1","validatorIndex":12,"address":"ab","amount":3.5},7,"{}",null,[1]]',
         '[{"index":"2"},{"amount":"99999999999999999999"}]',
+        '[{"index":"3","amount":12345678901234567890123,"address":"\\u00e9"}]',
+        '[{"index":"4","index":"5"}]',
     ]
     df = spark.createDataFrame(
         [(i, "h", "r", 100, TIME, t) for i, t in enumerate(texts)]
@@ -173,6 +178,8 @@ def test_explode_withdrawals(spark):
         (6, "0x1", "12", "ab", "3.5"),
         (7, "2", None, None, None),
         (7, None, None, None, "99999999999999999999"),
+        (8, "3", None, "é", "12345678901234567890123"),
+        (9, "5", None, None, None),
     ]
 
 

@@ -1,14 +1,15 @@
 """Quality classifier by compression: a text is like the dictionary that makes it smaller.
 
 Two zstandard dictionaries hold labelled text, one good, one bad. A text is cut into pieces of PIECE bytes, each compressed
-with either dictionary; the difference of the summed sizes, divided by the size of the text, is the one feature. A logistic
-curve, fitted on labelled documents that are in neither dictionary, turns it into a probability.
+with either dictionary. The difference of the summed sizes is normalised twice, by the size of the text and by the compressed
+size; with the compressed share itself (what neither dictionary explains) these are the features. A logistic curve over them,
+fitted on labelled documents that are in neither dictionary, turns them into a probability.
 
 Labelled documents come from a bounded sample: at most sample documents of each class (those with the smallest hash of
-doc_id) with at most sample_bytes of text together, of which half make the dictionary and half the curve. Scoring reads
-every text whole, in the task that read it.
+doc_id) with at most sample_bytes of text together, of which half make the dictionary and half the curve. Dictionaries leave
+out a text's first OPENING bytes, which are often a line that many documents share. Scoring reads every text whole, in the task that read it.
 
-Null and empty texts have the feature 0. Labels of unknown documents are ignored, as are null labels; of documents with
+Null and empty texts have features of 0. Labels of unknown documents are ignored, as are null labels; of documents with
 several labels or texts all count. Without labels of both classes every score is the share of good labels (0.5 without
 any). An empty table gives an empty result. Further columns pass through `filter_quality` and are not read by `score`.
 """
@@ -20,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -30,16 +32,16 @@ from spanledger.llm.common import free_name, text_blocks, text_column
 PIECE = 1024
 SAMPLE = 800
 SAMPLE_BYTES = 4 << 20
-DICT_BYTES = 96 << 10
-LEVEL = 1
+DICT_BYTES = 192 << 10
+OPENING = 200
+LEVEL = 3
 THRESHOLD = 0.3
 
 
 class Model(NamedTuple):
     good: bytes
     bad: bytes
-    slope: float
-    bias: float
+    weights: tuple[float, ...]  # of the features, and the bias
 
 
 def bucket(doc_id: Column) -> Column:
@@ -57,19 +59,23 @@ class Scorer:
             for d in (model.good, model.bad)
         ] if model.good and model.bad else []
 
-    def feature(self, text: memoryview | bytes) -> float:
-        """Bytes saved by the good dictionary rather than the bad one, per byte."""
+    def features(self, text: memoryview | bytes) -> tuple[float, float, float]:
+        """Bytes that the good dictionary saves over the bad one, per byte and per compressed byte; compressed bytes per byte."""
         if not len(text) or not self.packers:
-            return 0.0
+            return 0.0, 0.0, 0.0
         good, bad = (p.compress for p in self.packers)
-        saved = 0
+        with_good = with_bad = 0
         for at in range(0, len(text), PIECE):
             piece = text[at : at + PIECE]
-            saved += len(bad(piece)) - len(good(piece))
-        return saved / len(text)
+            with_good += len(good(piece))
+            with_bad += len(bad(piece))
+        both, saved = with_good + with_bad, with_bad - with_good
+        return saved / len(text), saved / both, both / len(text)
 
-    def score(self, feature: float) -> float:
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.model.slope * feature + self.model.bias))))
+    def score(self, features: tuple[float, ...]) -> float:
+        *weights, bias = self.model.weights
+        z = sum(w * x for w, x in zip(weights, features)) + bias
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
 def _prepared(raw: bytes) -> zstandard.ZstdCompressionDict:
@@ -81,33 +87,25 @@ def _prepared(raw: bytes) -> zstandard.ZstdCompressionDict:
 def _dictionary(texts: list[bytes]) -> bytes:
     """An equal share of each text, up to DICT_BYTES."""
     share = max(256, DICT_BYTES // max(1, len(texts)))
-    return b"\n".join(t[:share] for t in texts)[-DICT_BYTES:]
+    return b"\n".join(t[OPENING : OPENING + share] if len(t) > OPENING + 256 else t[:256] for t in texts)[-DICT_BYTES:]
 
 
-def _curve(points: list[tuple[float, int]]) -> tuple[float, float]:
-    """Slope and bias of the logistic curve, by Newton steps with a small penalty; features in units of their deviation."""
-    n = len(points)
-    if not n:
-        return 0.0, 0.0
-    mean = sum(x for x, _ in points) / n
-    dev = math.sqrt(sum((x - mean) ** 2 for x, _ in points) / n) or 1.0
-    a, b = 0.0, 0.0
+def _curve(points: list[tuple[float, ...]], marks: list[int]) -> tuple[float, ...]:
+    """Weights and bias of the logistic curve, by Newton steps with a small penalty on standardised features."""
+    x, y = np.array(points), np.array(marks, float)
+    mean, dev = x.mean(0), x.std(0)
+    dev[dev == 0] = 1.0
+    z = np.c_[(x - mean) / dev, np.ones(len(x))]
+    w = np.zeros(z.shape[1])
+    penalty = 1e-3 * len(x) * np.eye(len(w)) / 100
     for _ in range(50):
-        ga, gb, haa, hab, hbb = -0.01 * n / 100 * a, 0.0, 0.01 * n / 100 + 1e-9, 0.0, 1e-9
-        for x, y in points:
-            z = (x - mean) / dev
-            p = 1 / (1 + math.exp(-max(-50.0, min(50.0, a * z + b))))
-            w = p * (1 - p)
-            ga, gb = ga + (y - p) * z, gb + (y - p)
-            haa, hab, hbb = haa + w * z * z, hab + w * z, hbb + w
-        det = haa * hbb - hab * hab
-        if abs(det) < 1e-12:
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -50, 50)))
+        step = np.linalg.solve((z.T * (p * (1 - p))) @ z + penalty + 1e-9 * np.eye(len(w)), z.T @ (y - p) - penalty @ w)
+        w += np.clip(step, -2, 2)
+        if np.abs(step).sum() < 1e-6:
             break
-        da, db = (ga * hbb - gb * hab) / det, (gb * haa - ga * hab) / det
-        a, b = a + max(-2.0, min(2.0, da)), b + max(-2.0, min(2.0, db))
-        if abs(da) + abs(db) < 1e-6:
-            break
-    return a / dev, b - a * mean / dev
+    weights = w[:-1] / dev
+    return (*weights.tolist(), float(w[-1] - weights @ mean))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
@@ -128,11 +126,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
     if not by[0] or not by[1]:
         n = len(by[0]) + len(by[1])
         share = (len(by[1]) + 0.5) / (n + 1)
-        return Model(b"", b"", 0.0, math.log(share / (1 - share)))
-    model = Model(_dictionary(by[1][::2]), _dictionary(by[0][::2]), 0.0, 0.0)
+        return Model(b"", b"", (0.0, 0.0, 0.0, math.log(share / (1 - share))))
+    model = Model(_dictionary(by[1][::2]), _dictionary(by[0][::2]), ())
     scorer = Scorer(model)
-    slope, bias = _curve([(scorer.feature(t), q) for q in (0, 1) for t in (by[q][1::2] or by[q])])
-    return model._replace(slope=slope, bias=bias)
+    rest = [(t, q) for q in (0, 1) for t in (by[q][1::2] or by[q])]
+    return model._replace(weights=_curve([scorer.features(t) for t, _ in rest], [q for _, q in rest]))
 
 
 def _scored(docs: DataFrame, model: Model, column: str) -> DataFrame:
@@ -144,7 +142,8 @@ def _scored(docs: DataFrame, model: Model, column: str) -> DataFrame:
             scores = []
             for _, offsets, data in text_blocks(text_column(batch, "text")):
                 view = memoryview(data)
-                scores += [scorer.score(scorer.feature(view[a:b])) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                ends = offsets.tolist()
+                scores += [scorer.score(scorer.features(view[a:b])) for a, b in zip(ends, ends[1:])]
             columns = [*batch.columns, pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, column])
 

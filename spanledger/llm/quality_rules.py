@@ -5,7 +5,8 @@ Words are runs of anything but blank, tab, line feed, vertical tab, form feed an
 the whole text, in the row itself and without a shuffle. Each rule votes good (1), bad (-1) or abstains (0). The only thing
 gathered is how many documents cast which combination of votes: at most 3^rules rows, whatever the input. On these,
 expectation-maximisation of the two-class model with independent rules estimates the share of good documents and each
-rule's vote probabilities in both classes; a document's posterior is then an expression of its votes.
+rule's accuracy; a document's posterior is then an expression of its votes. Several rules look at each kind of junk from different
+sides, since a lone vote can't be told from a mistake.
 
 Null and empty texts have no words and zero in all measures; they fail the base filter. Repeated documents count
 as often as they are there. An empty table gives an empty result. Further columns are not read.
@@ -24,27 +25,30 @@ from spanledger.llm.common import free_name, let
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 GRAM = 5
-KEEP = 0.3  # least posterior probability of quality
+KEEP = 0.05  # least posterior probability of quality: a lone vote against a document does not drop it
 ITERATIONS = 60
+SHARE, START, ACCURACY = 0.8, 0.8, (0.6, 0.98)
 
 
 class Rule(NamedTuple):
-    """Ratio column, good up to (or from) one bound and bad beyond the other; between them it abstains."""
+    """SQL conditions over the measures: votes good, votes bad (good first); a rule that finds neither abstains."""
 
     name: str
-    value: str
     good: str
     bad: str
 
 
 RULES = (
-    Rule("length", "n_words", "x >= 40", "x < 10"),
-    Rule("word_length", "word_chars / n_words", "x >= 3 and x <= 8", "x < 2 or x > 14"),
-    Rule("symbols", "n_symbols / n_words", "x <= 0.02", "x > 0.2"),
-    Rule("lines", "n_dup_lines / n_lines", "x = 0", "x > 0.3"),
-    Rule("repeats", "n_repeat_words / n_words", "x <= 0.05", "x > 0.3"),
-    Rule("capitals", "n_upper / word_chars", "x <= 0.15", "x > 0.5"),
-    Rule("marks", "n_marks / n_words", "x <= 0.1", "x > 0.5"),
+    Rule("length", "false", "n_words < 10"),
+    Rule("word_length", "false", "word_chars < 2 * n_words or word_chars > 12 * n_words"),
+    Rule("symbols", "false", "10 * n_symbols > n_words"),
+    Rule("marks", "false", "5 * n_marks > n_words"),
+    Rule("letters", "false", "100 * n_letters < 87 * word_chars"),
+    Rule("capitals", "false", "100 * n_upper > 30 * n_letters"),
+    Rule("lines", "false", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeats", "false", "10 * n_repeat_words > 2 * n_words"),
+    Rule("variety", "false", "n_words >= 20 and 10 * n_repeat_words > n_words"),
+    Rule("prose", "100 * n_letters >= 93 * word_chars and 100 * n_upper <= 20 * n_letters and 20 * n_repeat_words <= n_words", "false"),
 )
 
 
@@ -88,37 +92,36 @@ def measures(text: Column) -> dict[str, Column]:
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": _repeat_words(words).cast("long"),
         "n_upper": F.regexp_count(text, F.lit("\\p{Lu}")).cast("long"),
-        "n_marks": F.regexp_count(text, F.lit("[!|?#]")).cast("long"),
+        "n_letters": F.regexp_count(text, F.lit("\\p{L}")).cast("long"),
+        "n_marks": F.regexp_count(text, F.lit("[!|?#*%$&<>]")).cast("long"),
     }
 
 
 def vote(rule: Rule) -> Column:
-    """1, 0 or -1; a document without words gets 0 from rules on ratios."""
-    value = f"try_divide({rule.value.replace(' / ', ', ')})" if "/" in rule.value else rule.value
-    good, bad = (f"transform(array({value}), x -> {c})[0]" for c in (rule.good, rule.bad))
-    return F.expr(f"CASE WHEN {good} THEN 1 WHEN {bad} THEN -1 ELSE 0 END").cast("int")
+    """1, 0 or -1."""
+    return F.expr(f"CASE WHEN {rule.good} THEN 1 WHEN {rule.bad} THEN -1 ELSE 0 END").cast("int")
 
 
-def fit(counts: list[tuple[tuple[int, ...], int]], iterations: int = ITERATIONS) -> tuple[float, list[dict[int, float]]]:
-    """Log odds of quality without votes, and for each rule and vote the log of its likelihood ratio.
+def fit(counts: list[tuple[tuple[int, ...], int]], iterations: int = ITERATIONS) -> tuple[float, list[float]]:
+    """Log odds of quality without votes, and the log odds of each rule's accuracy.
 
-    counts: documents per combination of votes. The start takes every rule for right in 4 of 5 votes; one document of
-    each vote is added to each class, so that no ratio is infinite.
+    counts: documents per combination of votes. Accuracy: the share of a rule's votes that agree with the class, from
+    START on, kept within ACCURACY, so that no rule is turned round or decides alone beyond any other; abstaining says
+    nothing.
     """
     n_rules = len(counts[0][0]) if counts else 0
-    odds, ratios = math.log(4), [{1: math.log(4), 0: 0.0, -1: -math.log(4)}] * n_rules
+    share, accuracy = SHARE, [START] * n_rules
+    logit = lambda p: math.log(p / (1 - p))
     for _ in range(iterations if counts else 0):
-        good = {v: 1 / (1 + math.exp(-max(-500, min(500, odds + sum(r[x] for r, x in zip(ratios, v)))))) for v, _ in counts}
-        n1, n0 = sum(c * good[v] for v, c in counts), sum(c * (1 - good[v]) for v, c in counts)
-        odds = math.log((n1 + 1) / (n0 + 1))
-        ratios = []
+        weights = [logit(a) for a in accuracy]
+        good = {v: 1 / (1 + math.exp(-logit(share) - sum(w * x for w, x in zip(weights, v)))) for v, _ in counts}
+        total = sum(c for _, c in counts)
+        share = min(0.95, max(0.05, sum(c * good[v] for v, c in counts) / total))
         for k in range(n_rules):
-            seen = {x: [1.0, 1.0] for x in (1, 0, -1)}
-            for v, c in counts:
-                seen[v[k]][0] += c * good[v]
-                seen[v[k]][1] += c * (1 - good[v])
-            ratios.append({x: math.log(a / (n1 + 3)) - math.log(b / (n0 + 3)) for x, (a, b) in seen.items()})
-    return odds, ratios
+            votes = sum(c for v, c in counts if v[k])
+            right = sum(c * (good[v] if v[k] > 0 else 1 - good[v]) for v, c in counts if v[k])
+            accuracy[k] = min(ACCURACY[1], max(ACCURACY[0], (right + START) / (votes + 1)))
+    return logit(share), [logit(a) for a in accuracy]
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: float = KEEP) -> DataFrame:
@@ -133,10 +136,10 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: float = KEEP)
     voted = measured.select("*", *votes)
     names = [f"vote_{r.name}" for r in rules]
     counts = [(tuple(r[:-1]), r[-1]) for r in voted.groupBy(*names).count().collect()]
-    odds, ratios = fit(counts)
+    odds, weights = fit(counts)
     logit = F.lit(odds)
-    for name, ratio in zip(names, ratios):
-        logit = logit + F.when(F.col(name) == 1, ratio[1]).when(F.col(name) == -1, ratio[-1]).otherwise(ratio[0])
+    for name, weight in zip(names, weights):
+        logit = logit + F.lit(weight) * F.col(name)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     judged = voted.select("*", failed.alias("base_failed"), (1 / (1 + F.exp(-logit))).alias("posterior"))
     return judged.select("*", (~F.col("base_failed") & (F.col("posterior") >= keep)).alias("kept"))

@@ -140,7 +140,7 @@ t AS (
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(23 + length(replace({_ESCAPED.format("role")}, chr(10), '\\n')) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
+  CAST(sum(24 + length(replace({_ESCAPED.format("role")}, chr(10), '\\n')) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
 

@@ -38,6 +38,22 @@ def clean(df: DataFrame, table: str | None = None) -> DataFrame:
     return df.select(*out)
 
 
+def conform_checked(df: DataFrame, table: str, keep: Sequence[str] = (), error: str = "error") -> DataFrame:
+    """As `conform`, with a column that names the first value of the row that doesn't fit its
+    type (NULL: all fit), where `conform` would stop the job."""
+    have = set(df.columns)
+    columns, wrong = [], []
+    for f in TABLES[table].schema.fields:
+        raw = F.col(f.name) if f.name in have else F.lit(None)
+        fitted = raw.try_cast(f.dataType)
+        columns.append(fitted.alias(f.name))
+        if f.name in have and df.schema[f.name].dataType != f.dataType:
+            message = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), raw.cast("string"))
+            wrong.append(F.when(raw.isNotNull() & fitted.isNull(), message))
+    found = F.coalesce(*wrong) if wrong else F.lit(None).cast("string")
+    return df.select(*columns, *keep, found.alias(error))
+
+
 def conform(df: DataFrame, table: str, keep: Sequence[str] = ()) -> DataFrame:
     """Declared columns in declared order and type; missing ones NULL, others dropped unless
     named in `keep`."""

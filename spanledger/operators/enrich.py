@@ -11,15 +11,17 @@ from spanledger.schemas import EPOCH_FLOOR_SECONDS
 
 
 def usable_parents(blocks: DataFrame) -> DataFrame:
-    """(block_number, timestamp): the latest usable timestamp of every block.
+    """(block_number, timestamp): the timestamp of every block whose latest version has a usable one.
 
     Two long columns and one row per block, so joining it cannot multiply child rows. The
-    filter reaches the scan and the aggregate combines versions before the shuffle.
+    aggregate combines versions before the shuffle; of equal versions the later time counts.
     """
+    order = F.struct("insert_version", "timestamp")
     return (
-        blocks.filter((F.col("timestamp") > EPOCH_FLOOR_SECONDS) & F.col("block_number").isNotNull())
+        blocks.filter(F.col("block_number").isNotNull())
         .groupBy("block_number")
-        .agg(F.max_by("timestamp", "insert_version").alias("timestamp"))
+        .agg(F.max_by("timestamp", order).alias("timestamp"))
+        .filter(F.col("timestamp") > EPOCH_FLOOR_SECONDS)
     )
 
 
@@ -28,17 +30,20 @@ def enrich_strict(
     blocks: DataFrame,
     on_missing: str = "fail",
     broadcast_rows: int = BROADCAST_ROWS,
+    max_blocks: int | None = None,
 ) -> DataFrame:
     """Child rows with block_timestamp, taken from their block.
 
     "fail" stops the job at the first row whose block is unknown or has no usable
     timestamp; "keep" leaves those timestamps NULL for `split_valid` or `missing_parents`.
+    `max_blocks` is a bound on the different block numbers, where the caller knows one.
     """
     if on_missing not in ("fail", "keep"):
         raise ValueError(f"unknown on_missing {on_missing}")
     parents = usable_parents(blocks).withColumnRenamed("timestamp", "__seconds")
     joined = join_unique(
-        child, parents, ["block_number"], "left", broadcast_rows, sized_by=blocks.select("block_number")
+        child, parents, ["block_number"], "left", broadcast_rows, sized_by=blocks.select("block_number"),
+        at_most=max_blocks,
     )
     stamp = block_timestamp("__seconds")
     if on_missing == "fail":

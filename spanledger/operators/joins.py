@@ -18,8 +18,8 @@ STEPS_PER_ARRAY = 4096
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Size check that never counts past the bound."""
-    return df.limit(rows + 1).count() <= rows
+    """Size check: a count that every task combines, so that it sends one row."""
+    return df.count() <= rows
 
 
 def join_unique(
@@ -30,12 +30,13 @@ def join_unique(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_key_rows: int = HOT_KEY_ROWS,
     sized_by: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """`left` joined ("left" or "inner") to `right`, which has one narrow row per key.
 
     A right side that passes the size check is broadcast and `left` does not move at all. The
     check counts `sized_by` where given, a frame that is cheaper to count and has at least
-    as many rows. Beyond it, rows of hot left keys meet their few parents in a broadcast join, rows
+    as many rows; with `at_most`, a bound that the caller knows, nothing runs here. Beyond it, rows of hot left keys meet their few parents in a broadcast join, rows
     without a key need no join, and all others meet in an ordinary shuffled join. The three
     parts are disjoint and complete, so the result is the same as that of a plain join.
     """
@@ -43,7 +44,11 @@ def join_unique(
         raise ValueError(f"unsupported join type {how}")
     on = list(on)
     columns = left.columns + [c for c in right.columns if c not in on]
-    if has_at_most(right if sized_by is None else sized_by, broadcast_rows):
+    if at_most is not None:
+        small = at_most <= broadcast_rows
+    else:
+        small = has_at_most(right if sized_by is None else sized_by, broadcast_rows)
+    if small:
         return left.join(F.broadcast(right), on, how).select(*columns)
 
     has_key = F.lit(True)

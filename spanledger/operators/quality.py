@@ -29,7 +29,7 @@ def validate_timestamps(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
         "block_number",
         {
             "present": F.least(F.count("usable"), F.lit(1)),
-            "valid": F.max_by("usable", "insert_version"),  # the latest version decides
+            "valid": F.max_by("usable", F.struct("insert_version", "usable")),  # the latest version decides
         },
     )
     expected = F.greatest(F.col("end_block") - F.col("start_block"), F.lit(0).cast("bigint"))

@@ -14,6 +14,7 @@ from spanledger.schemas import (
     FAILED,
     PROCESSING,
     REPROCESS_MESSAGE,
+    SKIPPED,
     STATE_KEY,
     STATE_SCHEMA,
     STUCK_MESSAGE,
@@ -87,7 +88,7 @@ def fail_dependents(
     ranges = (
         bad_ranges.withColumn("dataset", F.explode(F.array(*[F.lit(d) for d in others])))
         .withColumn("start_block", first_block("dataset", "start_block"))
-        .withColumn("error_message", F.concat(F.lit("Skipped: "), F.col("reason")))
+        .withColumn("error_message", F.concat(F.lit(SKIPPED), F.col("reason")))
         .groupBy(*STATE_KEY)
         .agg(F.min("error_message").alias("error_message"))
     )

@@ -9,13 +9,14 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.functions.cleaning import clean, conform
+from spanledger.functions.cleaning import clean, conform_checked
 from spanledger.functions.columns import first_block
-from spanledger.operators.enrich import enrich_strict, split_blocks, validate_rows
+from spanledger.operators.enrich import enrich_strict, invalid_reason, split_blocks, split_valid
 from spanledger.operators.ranges import rows_in_ranges
 from spanledger.operators.metrics import rows_per_range
 from spanledger.operators.quality import validate_report, validate_timestamps
@@ -28,7 +29,7 @@ from spanledger.operators.state import (
 )
 from spanledger.plans.ranges import plan_ranges
 from spanledger.plans.repair import repair_plan
-from spanledger.schemas import PROCESSING, STATE_KEY, STATE_TABLE, TABLES
+from spanledger.schemas import GATE_MESSAGE, PROCESSING, SKIPPED, STATE_KEY, STATE_TABLE, TABLES
 from spanledger.sources.extracts import project_dataset, read_dataset, slice_range
 from spanledger.sources.tables import TableStore
 
@@ -80,10 +81,14 @@ def load_plan(
 ) -> None:
     """Load every range of the plan (dataset, start_block, end_block) and record the outcome.
 
-    Blocks go first; a range whose blocks are not all present with a usable timestamp is
-    failed and its children are skipped with a failed row. Each child dataset is loaded on
-    its own, so an error in one does not stop the others. All rows carry `version`, so
-    running the same call again changes nothing that a reader of latest versions sees.
+    Every dataset is read from the raw zone once, into a work table from which rows, counts and
+    verdicts come. A range with a row that does not fit its table, or without a usable time, is
+    failed; the other ranges of the dataset are loaded by the same job. Blocks go first; where the
+    plan holds blocks, ranges whose blocks are not all present with a usable timestamp are
+    failed and their children skipped with a failed row. A plan without blocks has no such gate.
+    An error of a job itself fails what the job would have loaded, and the other datasets go
+    on. All rows carry `version`, so running the same call again changes nothing that a reader
+    of latest versions sees. With `replace`, old rows go only after the new ones are staged.
     """
     as_of = as_of or now_utc()
     version = time.time_ns() if version is None else version
@@ -109,76 +114,99 @@ def load_plan(
     }
     if not names:
         return
-    bounds = (min(lo for lo, _ in names.values()), max(hi for _, hi in names.values()))
+    work = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        work.append(f"{name}-{version}")
+        return store.put_work(df, work[-1])
+
+    def load(name: str, ranges: DataFrame) -> DataFrame:
+        """Loads the dataset's ranges; state rows of those that did not fail on their own rows,
+        with rows_indexed, are returned as ranges, failed ones are recorded."""
+        staged = kept(_staged(store, raw, name, ranges, names[name]), f"rows-{name}")
+        bad = staged.filter(F.col("error").isNotNull())
+        such = bad.agg(F.min("error")).first()[0]
+        counts = rows_per_range(bad, ranges).filter("rows_indexed > 0").withColumnRenamed("rows_indexed", "n")
+        broken = ranges.join(counts, ["start_block", "end_block"]).select(
+            *STATE_KEY, F.concat(F.col("n"), F.lit(f" rows rejected, such as: {such}")).alias("error_message")
+        )
+        broken = kept(broken, f"broken-{name}")
+        good = ranges.select(*STATE_KEY).join(broken, list(STATE_KEY), "left_anti")
+        fit = staged.filter(F.col("error").isNull()).drop("error")
+        fit = fit if such is None else rows_in_ranges(fit, good)
+        parts = {name: fit}
+        if name == "blocks":
+            blocks, withdrawals = split_blocks(fit)
+            parts = {"blocks": blocks, "withdrawals": split_valid(withdrawals)[0]}
+        for table, rows in parts.items():
+            if replace:
+                store.replace_ranges(table, good, rows, version, staged=True)
+            else:
+                store.append(rows, table, version)
+        loaded = reduce(DataFrame.unionByName, [rows.select("block_number") for rows in parts.values()])
+        if such is not None:
+            store.append_state(fail_ranges(store.state(), broken, as_of, version + 1))
+        return good.join(rows_per_range(loaded, ranges), ["start_block", "end_block"])
+
+    def attempt(name: str, ranges: DataFrame) -> DataFrame | None:
+        try:
+            return load(name, ranges)
+        except Exception as error:  # of the job itself; recorded per range, the other datasets go on
+            failed = ranges.select(*STATE_KEY, F.lit(str(error)).alias("error_message"))
+            store.append_state(fail_ranges(store.state(), failed, as_of, version + 1))
+            return None
 
     if "blocks" in names:
-        ranges = todo.filter(F.col("dataset") == "blocks")
-        rows = raw.rows(store, "blocks", ranges, names["blocks"])
-        blocks, withdrawals = split_blocks(_with_columns(rows, "blocks"))
-        if replace:
-            store.delete_ranges("blocks", ranges)
-        store.append(blocks, "blocks", version)
-        store.append(validate_rows(withdrawals), "withdrawals", version)
-        block_rows = blocks.select("block_number").unionByName(withdrawals.select("block_number"))
-
-    # Timestamp gate, for all ranges of the plan in one pass over the blocks table.
-    gate = validate_timestamps(todo, within(store.read("blocks"), bounds)).withColumn(
-        "message",
-        F.format_string(
-            "Block timestamps unusable (%s): %s/%s valid, %s present",
-            "reason", "valid", "expected", "present",
-        ),
-    )
-    checked = todo.join(gate, ["start_block", "end_block"]).select(*STATE_KEY, "ok", "message")
-    gate_table = f"gate-{version}"
-    checked = store.put_work(checked, gate_table)
-    is_block_range = F.col("dataset") == "blocks"
-    failed = checked.filter(~F.col("ok")).select(
-        *STATE_KEY,
-        F.when(is_block_range, F.col("message"))
-        .otherwise(F.concat(F.lit("Skipped: "), "message"))
-        .alias("error_message"),
-    )
-    outcome = fail_ranges(store.state(), failed, as_of, version + 1)
-    if "blocks" in names:
-        good = checked.filter(is_block_range & F.col("ok"))
-        outcome = outcome.unionByName(_completed(good, block_rows, as_of, version + 1))
-    store.append_state(outcome)
+        bounds = (min(lo for lo, _ in names.values()), max(hi for _, hi in names.values()))
+        loaded = attempt("blocks", todo.filter(F.col("dataset") == "blocks"))
+        # Timestamp gate, for all ranges of the plan in one pass over the blocks table.
+        gate = validate_timestamps(todo, within(store.read("blocks"), bounds)).withColumn(
+            "message",
+            F.format_string(GATE_MESSAGE, "reason", "valid", "expected", "present"),
+        )
+        checked = kept(todo.join(gate, ["start_block", "end_block"]).select(*STATE_KEY, "ok", "message"), "gate")
+        is_block_range = F.col("dataset") == "blocks"
+        outcome = checked.filter(~F.col("ok"))
+        skipped = outcome.filter(~is_block_range).select(
+            *STATE_KEY, F.concat(F.lit(SKIPPED), "message").alias("error_message")
+        )
+        if loaded is not None:  # else its ranges are failed already
+            gated = loaded.join(checked.filter(is_block_range), list(STATE_KEY))
+            unfit = gated.filter(~F.col("ok")).select(*STATE_KEY, F.col("message").alias("error_message"))
+            store.append_state(
+                fail_ranges(store.state(), skipped.unionByName(unfit), as_of, version + 1).unionByName(
+                    complete_ranges(gated.filter("ok"), as_of, version + 1)
+                )
+            )
+        else:
+            store.append_state(fail_ranges(store.state(), skipped, as_of, version + 1))
+        todo = checked.filter("ok").select(*STATE_KEY)
 
     for name in (n for n in TABLES if n in names and n != "blocks"):
-        good = checked.filter((F.col("dataset") == name) & F.col("ok"))
-        try:
-            rows = _with_columns(raw.rows(store, name, good, names[name]), name)
-            parents = within(store.read("blocks"), names[name])
-            stamped = validate_rows(enrich_strict(rows, parents))
-            if replace:
-                store.replace_ranges(name, good, stamped, version)
-            else:
-                store.append(stamped, name, version)
-            outcome = _completed(good, rows, as_of, version + 1)
-        except Exception as error:  # recorded per range; the other datasets go on
-            broken = good.select(*STATE_KEY, F.lit(str(error)).alias("error_message"))
-            outcome = fail_ranges(store.state(), broken, as_of, version + 1)
-        store.append_state(outcome)
-    store.drop_work(gate_table)
-
+        loaded = attempt(name, todo.filter(F.col("dataset") == name))
+        if loaded is not None:
+            store.append_state(complete_ranges(loaded, as_of, version + 1))
+    for name in work:
+        store.drop_work(name)
 
-def _completed(ranges: DataFrame, loaded: DataFrame, as_of: str, version: int) -> DataFrame:
-    """Completed state rows with the number of rows loaded per range.
 
-    The rows are counted where they come from, so a replayed append does not count twice.
-    """
-    counts = rows_per_range(loaded, ranges)
-    return complete_ranges(ranges.join(counts, ["start_block", "end_block"]), as_of, version)
+def _staged(store: TableStore, raw: RawZone, name: str, ranges: DataFrame, bounds: Bounds) -> DataFrame:
+    """Cleaned rows of the ranges under the declared columns, with what is wrong with a row."""
+    rows = conform_checked(*_with_columns(raw.rows(store, name, ranges, bounds), name))
+    if name == "blocks":
+        return rows
+    parents = within(store.read("blocks"), bounds)
+    stamped = enrich_strict(rows, parents, on_missing="keep", max_blocks=bounds[1] - bounds[0])
+    return stamped.withColumn("error", F.coalesce("error", invalid_reason()))
 
 
-def _with_columns(rows: DataFrame, name: str) -> DataFrame:
-    """Rows under the declared columns, plus the inputs that are read but not stored."""
+def _with_columns(rows: DataFrame, name: str) -> tuple[DataFrame, str, tuple[str, ...]]:
+    """Rows with the inputs that are read but not stored, and what `conform_checked` asks for."""
     have = set(rows.columns)
     for extra in TABLES[name].extra_input:
         if extra not in have:
             rows = rows.withColumn(extra, F.lit(None).cast("string"))
-    return conform(rows, name, keep=TABLES[name].extra_input)
+    return rows, name, TABLES[name].extra_input
 
 
 def historical(

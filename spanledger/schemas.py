@@ -104,6 +104,8 @@ MODES = {
 }
 DURATION_BUCKETS = (0.5, 1, 2.5, 5, 10, 25, 50, 100, 250, 500, 1000)
 STUCK_MESSAGE = "Auto-recovered: stuck processing since "
+GATE_MESSAGE = "Block timestamps unusable (%s): %s/%s valid, %s present"
+SKIPPED = "Skipped: "
 REPROCESS_MESSAGE = "Auto-maintain: zero rows detected, marked for reprocess"
 # ---------------------------------------------------------------------------
 

@@ -14,9 +14,13 @@ from spanledger.schemas import DATASETS, TABLES
 def read_dataset(
     spark: SparkSession, folder: str, dataset: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """All Parquet files below `folder` with the dataset's name in their file name."""
-    reader = spark.read.option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", f"*{dataset}*.parquet"
+    """All Parquet files below `folder` with the dataset's name in their file name.
+
+    Without a schema the columns of all files are taken together, since a chain gains some in
+    the course of time; a column of two types that don't go together is an error.
+    """
+    reader = spark.read.options(
+        recursiveFileLookup="true", pathGlobFilter=f"*{dataset}*.parquet", mergeSchema="true"
     )
     if schema is not None:
         reader = reader.schema(schema)

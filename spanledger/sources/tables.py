@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
-from datetime import datetime, timedelta
+from collections.abc import Iterator, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from spanledger.schemas import (
     TABLES,
 )
 from spanledger.session import work_folder
+from spanledger.sources.extracts import slice_range
 
 # Time partition per tier: column, type, and the value of a timestamp.
 PARTITIONS = {
@@ -53,18 +54,6 @@ def with_partition(df: DataFrame, unit: str = "month", stamp: str = "block_times
 FILES_PER_REWRITE = 10_000
 
 
-def _chunks(sized: list[tuple[object, int]], limit: int) -> list[list]:
-    """Values packed in order into lists whose sizes add up to at most `limit` each."""
-    out, room = [], 0
-    for value, size in sized:
-        if size > room or not out:
-            out.append([])
-            room = limit
-        out[-1].append(value)
-        room -= size
-    return out
-
-
 class TableStore:
     """Tables of one tier: "month" partitions are the permanent tier, "day" the live one."""
 
@@ -116,8 +105,10 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(self.path(table))
 
     def latest(self, table: str) -> DataFrame:
-        """The latest version of every key."""
-        return latest_wins(self.read(table), self._key(table)).drop(self.column)
+        """The latest version of every key; of equal versions the one with the largest values."""
+        rows, key = self.read(table).drop(self.column), self._key(table)
+        others = [c for c in rows.columns if c not in key and c != "insert_version"]
+        return latest_wins(rows, key, ["insert_version", *others])
 
     def state(self) -> DataFrame:
         return self.read(STATE_TABLE).drop(self.column)
@@ -173,18 +164,23 @@ class TableStore:
         return self.delete_ranges(table, plan_ranges(self.spark, start, end, max(end - start, 1)), related)
 
     def replace_ranges(
-        self, table: str, ranges: DataFrame, rows: DataFrame, version: int | None = None
+        self, table: str, ranges: DataFrame, rows: DataFrame, version: int | None = None, staged: bool = False
     ) -> int:
         """Delete the ranges, then append the rows that were extracted again.
 
         The new rows are written to the work folder first, so they never read from files
-        that are being replaced, and a failure while computing them deletes nothing.
+        that are being replaced, and a failure while computing them deletes nothing. Rows
+        that already come from a work table are taken as they are with `staged`.
         """
-        staged = work_folder(self.spark, f"replace-{table}")
-        rows.write.parquet(staged)
-        self.delete_ranges(table, ranges, related=False)
-        appended = self.append(self.spark.read.schema(rows.schema).parquet(staged), table, version)
-        self._remove(staged)
+        if staged:
+            self.delete_ranges(table, ranges, related=False)
+            return self.append(rows, table, version)
+        folder = work_folder(self.spark, f"replace-{table}")
+        rows.write.parquet(folder)
+        appended = self.replace_ranges(
+            table, ranges, self.spark.read.schema(rows.schema).parquet(folder), version, staged=True
+        )
+        self._remove(folder)
         return appended
 
     # -- work tables ----------------------------------------------------------------------
@@ -206,40 +202,48 @@ class TableStore:
     # Files that others add meanwhile are not touched, so a loader may run beside it. Until
     # the old files are gone a reader sees rows twice under one version, as after a replay.
     def _rewrite_without(self, table: str, ranges: DataFrame) -> int:
-        if not self.exists(table):
+        span = ranges.agg(F.min("start_block").alias("lo"), F.max("end_block").alias("hi")).first()
+        if not self.exists(table) or span["lo"] is None:
             return 0
-        located = self.read(table).select(
-            "block_number", self.column, F.col("_metadata.file_path").alias("file")
-        )
+        # The outer bounds reach the scan, which skips row groups by them.
+        near = slice_range(self.read(table), span["lo"], span["hi"])
+        located = near.select("block_number", F.col("_metadata.file_path").alias("file"))
         work = f"delete-{uuid.uuid4().hex}"
         hits = self.put_work(
-            rows_in_ranges(located, ranges)
-            .groupBy(self.column, "file")
-            .agg(F.count(F.lit(1)).alias("rows")),
-            work,
+            rows_in_ranges(located, ranges).groupBy("file").agg(F.count(F.lit(1)).alias("rows")), work
         )
-        # One row per touched calendar month (or day): a short list by its nature.
-        parts = hits.groupBy(self.column).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
-        touched = parts.collect()
-        for chunk in _chunks([(r[self.column], r["files"]) for r in touched], FILES_PER_REWRITE):
-            files = [r[0] for r in hits.filter(self._in(chunk)).select("file").collect()]
+        found = hits.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
+        for files in self._file_lists(hits, found["files"]):
             kept = rows_in_ranges(self._read_files(table, files), ranges, inside=False)
             self._replace_files(kept, table, files)
         self.drop_work(work)
-        return sum(r["rows"] for r in touched)
+        return found["rows"] or 0
 
-    def _in(self, values) -> Column:
-        c = F.col(self.column)
-        known = c.isin([v for v in values if v is not None])
-        return known | c.isNull() if None in values else known
+    def _file_lists(self, located: DataFrame, n: int) -> Iterator[list[str]]:
+        """The file names in lists of about FILES_PER_REWRITE, whatever partitions they are in."""
+        parts = -(-n // FILES_PER_REWRITE)
+        for k in range(parts):
+            mine = located.filter(F.pmod(F.xxhash64("file"), F.lit(parts)) == k)
+            files = [r["file"] for r in mine.select("file").collect()]
+            if files:
+                yield files
 
     def _partitions(self, table: str) -> list:
-        return [r[0] for r in self.read(table).select(self.column).distinct().collect()]
+        """Values of the time partitions there are, from the folders' names."""
+        fs, p = self._fs(self.path(table))
+        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+        texts = [n.partition("=")[2] for n in names if n.startswith(f"{self.column}=")]
+        whole = {"month": date.fromisoformat, "day": int}[self.unit]
+        return [None if x == "__HIVE_DEFAULT_PARTITION__" else whole(x) for x in texts]
 
     def _files_of(self, table: str, partitions: Sequence) -> DataFrame:
-        """(partition value, file) of the files that hold rows of the partitions."""
-        rows = self.read(table).filter(self._in(partitions))
-        return rows.select(self.column, F.col("_metadata.file_path").alias("file")).distinct()
+        """One row per file of the partitions: a listing, without a look at the rows."""
+        paths = [self._partition_path(table, v) for v in partitions]
+        paths = [p for p in paths if (lambda fs, q: fs.exists(q))(*self._fs(p))]
+        if not paths:
+            return self.spark.createDataFrame([], "file STRING")
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
+        return listed.select(F.col("_metadata.file_path").alias("file"))
 
     def _read_files(self, table: str, files: list[str]) -> DataFrame:
         jvm = self.spark._jvm
@@ -254,25 +258,28 @@ class TableStore:
             path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, False)
 
-    def _drop_partition(self, table: str, value) -> None:
+    def _partition_path(self, table: str, value) -> str:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        self._remove(f"{self.path(table)}/{self.column}={name}")
+        return f"{self.path(table)}/{self.column}={name}"
+
+    def _drop_partition(self, table: str, value) -> None:
+        self._remove(self._partition_path(table, value))
 
     def compact(self, table: str, partitions: Sequence | None = None) -> None:
         """Rewrite time partitions (all by default) with only the latest versions found there."""
         if not self.exists(table):
             return
         wanted = self._partitions(table) if partitions is None else list(partitions)
-        located = self._files_of(table, wanted)
-        sizes = located.groupBy(self.column).agg(F.count(F.lit(1)).alias("files")).collect()
-        for chunk in _chunks([tuple(r) for r in sizes], FILES_PER_REWRITE):
-            files = [r.file for r in located.filter(self._in(chunk)).collect()]
-            kept = latest_wins(self._read_files(table, files), self._key(table))
-            self._replace_files(kept, table, files)
+        for value in wanted:  # the versions of a row may be in any file of its partition
+            files = [r.file for r in self._files_of(table, [value]).collect()]
+            if files:
+                kept = latest_wins(self._read_files(table, files), self._key(table))
+                self._replace_files(kept, table, files)
 
     # -- retention ------------------------------------------------------------------------
     def expire(self, table: str, as_of: datetime, keep_days: int) -> None:
-        """Drop whole partitions past the retention and rewrite only the one at its edge."""
+        """Drop whole partitions past the retention and rewrite only the one at its edge (of state:
+        leave it as it is)."""
         if not self.exists(table):
             return
         stamp = self._stamp(table)
@@ -281,8 +288,10 @@ class TableStore:
         for value in self._partitions(table):
             if value is not None and value < edge:
                 self._drop_partition(table, value)
-        files = [r.file for r in self._files_of(table, [edge]).collect()]
-        if files:
+        if table == STATE_TABLE:
+            return  # events are counted, so no reader may see one twice: they go by whole partitions
+        located = self._files_of(table, [edge])
+        for files in self._file_lists(located, located.count()):
             kept = unexpired(self._read_files(table, files), stamp, as_of, keep_days)
             self._replace_files(kept, table, files)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanledger.functions.columns import timestamp_at
+
 
 def stream_dedup(
     rows: DataFrame, keys: Sequence[str], stamp: str = "block_timestamp", lateness: str = "2 days"
@@ -27,10 +29,15 @@ def confirmed_by_time(
 
 
 def unexpired_stream(
-    rows: DataFrame, keep_days: int, stamp: str = "block_timestamp", lateness: str | None = None
+    rows: DataFrame,
+    keep_days: int,
+    stamp: str = "block_timestamp",
+    lateness: str | None = None,
+    as_of=None,
 ) -> DataFrame:
-    """Live-tier rows: a watermark at the retention, and no row that is already past it."""
+    """Live-tier rows: a watermark at the retention, and no row that is already past it as of a
+    given time, else as of each micro-batch's."""
     keep = F.make_dt_interval(days=F.lit(keep_days))
     return rows.withWatermark(stamp, lateness or f"{keep_days} days").filter(
-        F.col(stamp) + keep > F.current_timestamp()
+        F.col(stamp) + keep > (F.current_timestamp() if as_of is None else timestamp_at(as_of))
     )

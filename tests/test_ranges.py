@@ -122,7 +122,7 @@ def test_without_overlap(spark, seed):
 @pytest.mark.parametrize("width", [4, 1 << 20])
 @pytest.mark.parametrize("broadcast_rows", [0, 500_000])
 def test_sum_over_ranges(spark, width, broadcast_rows, monkeypatch):
-    monkeypatch.setattr(joins.join_unique, "__defaults__", ("left", broadcast_rows, 5, None))
+    monkeypatch.setattr(joins.join_unique, "__defaults__", ("left", broadcast_rows, 5, None, None))
     rng = random.Random(1)
     points = [(rng.choice([3, 3, 3, rng.randrange(100)]), 1, rng.randint(0, 9)) for _ in range(300)]
     points += [(None, 1, 1)]

@@ -83,13 +83,6 @@ def test_rewrites_leave_rows_alone_that_are_added_meanwhile(spark, store, monkey
     assert store.read("blocks").filter("insert_version = 7").count() == 6
 
 
-def test_partitions_are_packed_by_their_files():
-    from spanledger.sources.tables import _chunks
-
-    assert _chunks([("a", 4), ("b", 5), ("c", 2), ("d", 30), ("e", 1)], 10) == [["a", "b"], ["c"], ["d"], ["e"]]
-    assert _chunks([], 10) == []
-
-
 def test_reading_a_table_nobody_wrote(store):
     assert store.read("logs").count() == 0
     assert store.delete_range("logs", 0, 10) == 0

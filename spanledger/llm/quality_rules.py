@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import free_name, let
+from spanledger.llm.common import let, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -131,7 +131,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: float = KEEP)
     """
     rows = docs.select("doc_id", "text")
     own = measures(F.col("text"))
-    measured = rows.select("doc_id", *[c.alias(n) for n, c in own.items()])
+    measured = written(rows.select("doc_id", *[c.alias(n) for n, c in own.items()]), "measures")  # read twice
     votes = [vote(r).alias(f"vote_{r.name}") for r in rules]
     voted = measured.select("*", *votes)
     names = [f"vote_{r.name}" for r in rules]

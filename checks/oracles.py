@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks import views as V
+from spanledger.schemas import TABLES
 
 VERSION = 1_000_000_000_000
 TX_COLUMNS = "block_number, transaction_index, gas_limit, gas_used, value_f64, input"
@@ -189,6 +190,52 @@ REPAIRED = _with(BLOCKS, TXS, NEWEST, BLOCK_RANGES, GATE, WITHDRAWN, OUTCOME) +
     "SELECT dataset, start_block, end_block, 'completed' AS status, n AS rows_indexed FROM outcome"
 )
 
+# Loads in which some values do not fit their column: those ranges store nothing of their dataset.
+BAD_BLOCKS = f"""every AS ({V.duck(V.BLOCKS)}),
+broken AS (SELECT r.start_block, count(*) AS n FROM ranges r JOIN every e
+  ON e.block_number >= r.start_block AND e.block_number < r.end_block
+  WHERE e.block_number % 977 = 3 GROUP BY r.start_block),
+blocks AS (SELECT e.* FROM every e JOIN ranges r
+  ON e.block_number >= r.start_block AND e.block_number < r.end_block
+  WHERE r.start_block NOT IN (SELECT start_block FROM broken)),
+unfit AS (SELECT r.start_block, count(*) AS n FROM ranges r JOIN newest t
+  ON t.block_number >= r.start_block AND t.block_number < r.end_block
+  WHERE t.block_number % 883 = 5 GROUP BY r.start_block)"""
+BAD_LOADED = """loaded AS (
+  SELECT dataset, o.start_block, o.end_block,
+    CASE WHEN ok AND (dataset = 'blocks' OR u.n IS NULL) THEN 'completed' ELSE 'failed' END AS status,
+    CASE WHEN ok AND (dataset = 'blocks' OR u.n IS NULL) THEN 0 ELSE 1 END AS attempt_count,
+    CASE WHEN ok AND (dataset = 'blocks' OR u.n IS NULL) THEN o.n END AS rows_indexed,
+    CASE WHEN dataset = 'blocks' AND b.n IS NOT NULL THEN concat(b.n, ' rows rejected, such as: gas_used is no bigint: many')
+         WHEN NOT ok THEN concat(CASE WHEN dataset = 'blocks' THEN '' ELSE 'Skipped: ' END,
+           'Block timestamps unusable (', reason, '): ', valid, '/', expected, ' valid, ', present, ' present')
+         WHEN dataset <> 'blocks' AND u.n IS NOT NULL THEN concat(u.n, ' rows rejected, such as: gas_limit is no bigint: lots')
+         END AS error_message
+  FROM outcome o LEFT JOIN broken b ON b.start_block = o.start_block LEFT JOIN unfit u ON u.start_block = o.start_block)"""
+ALL_RANGES = _ranges("(SELECT max(o_orderkey) + 1 FROM orders)", 100)
+BAD_LOAD = (TXS, NEWEST, ALL_RANGES, BAD_BLOCKS, GATE, WITHDRAWN, OUTCOME, BAD_LOADED)
+BAD_STREAM = (TXS, NEWEST, CONFIRMED_RANGES, BAD_BLOCKS, GATE, WITHDRAWN, OUTCOME, BAD_LOADED)
+
+_KINDS = "'BIGINT', 'bigint'), ('INTEGER', 'int'), ('DOUBLE', 'double'), ('VARCHAR', 'string'), ('TIMESTAMP', 'timestamp'"
+_FILLED = "block_number transaction_index gas_limit gas_used value_f64 input l_quantity l_discount seen_at".split()
+SCHEMA_CONTRACT = (
+    _with(TXS)
+    + """, rows AS (SELECT * REPLACE (CAST(gas_used AS VARCHAR) AS gas_used) FROM txs),
+kinds(duck, spark) AS (VALUES ("""
+    + _KINDS
+    + """)),
+have AS (SELECT column_name AS name, spark AS actual FROM (DESCRIBE SELECT * FROM rows) JOIN kinds ON duck = column_type),
+want(name, expected) AS (VALUES """
+    + ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in TABLES["transactions"].schema.fields)
+    + """),
+filled AS ("""
+    + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n FROM rows" for c in _FILLED)
+    + """)
+SELECT name, expected, actual, CASE WHEN actual IS NULL THEN 'missing' WHEN expected IS NULL THEN 'extra'
+  WHEN actual = expected THEN 'ok' ELSE 'type_differs' END AS verdict, coalesce(n, 0) AS n_filled
+FROM want FULL JOIN have USING (name) LEFT JOIN filled USING (name)"""
+)
+
 EVENT_STORE = (
     EVENT_BLOCKS,
     f"raw AS ({V.duck(V.WITHDRAWALS)})",
@@ -214,8 +261,8 @@ FROM stored WHERE {where} GROUP BY ALL"""
 ORACLES = {
     "read_dataset": """SELECT l_returnflag, l_linestatus, count(*) AS n_rows,
   CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey FROM lineitem GROUP BY ALL""",
-    "route_by_filename": """SELECT 'orders' AS dataset, count(*) AS n_rows FROM orders
-UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events""",
+    "route_by_filename": " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS n_rows FROM {name}" for name in V.TABLES),
     "slice_range": """SELECT event_id, user_id, event_type FROM events
 WHERE event_id >= (SELECT max(event_id) // 4 FROM events)
   AND event_id < 3 * (SELECT max(event_id) // 4 FROM events)""",
@@ -371,8 +418,34 @@ FROM (SELECT *, 1 AS why FROM pieces
 WHERE NOT EXISTS (SELECT 1 FROM latest p WHERE p.dataset = c.dataset AND p.status = 'processing'
   AND p.start_block < c.end_block AND p.end_block > c.start_block)
 GROUP BY dataset, start_block, end_block""",
-    "detect_reorg": """SELECT max(event_id) AS last_block, true AS reorg_detected,
-  max(event_id) * 99 // 100 AS common_ancestor FROM events""",
+    "detect_reorg": _with(EVENT_BLOCKS) + """, top AS (SELECT max(block_number) AS t, max(block_number) * 99 // 100 AS fork FROM blocks),
+stored AS (SELECT block_number, block_hash, 2 AS v FROM blocks
+  UNION ALL SELECT block_number, 'old', 1 FROM blocks WHERE block_number % 7 = 0),
+ours AS (SELECT block_number, arg_max(block_hash, v) AS h FROM stored GROUP BY block_number),
+theirs AS (SELECT block_number, CASE WHEN block_number > fork THEN md5(concat(block_number, 'x')) ELSE block_hash END AS h
+  FROM blocks, top WHERE block_number <> fork),
+pairs AS (SELECT o.block_number, o.h = t.h AS same FROM ours o LEFT JOIN theirs t USING (block_number))
+SELECT t AS last_block, NOT (SELECT same FROM pairs WHERE block_number = t) AS reorg_detected,
+  (SELECT max(block_number) FROM pairs WHERE same) AS common_ancestor FROM top""",
+    "schema_contract": SCHEMA_CONTRACT,
+    "table_ddl": _with(EVENT_BLOCKS) + """SELECT block_number, block_hash, block_timestamp,
+  CAST(strftime(block_timestamp, '%Y%m%d') AS INTEGER) AS part_day, CAST(1 AS BIGINT) AS insert_version FROM blocks""",
+    "delete_counts": _with(*EVENT_STORE) + """SELECT
+  (SELECT count(*) FROM stored WHERE block_number >= h // 4 AND block_number < h // 2) AS with_withdrawals,
+  (SELECT count(*) FROM blocks WHERE block_number >= 3 * h // 4) AS blocks_only
+FROM (SELECT max(event_id) AS h FROM events)""",
+    "historical_files": _with(BLOCKS) + """SELECT block_number, block_hash, timestamp,
+  CASE WHEN block_number % 2 = 1 THEN gas_used ELSE -1 END AS gas_used,
+  CASE WHEN block_number % 2 = 1 AND withdrawals LIKE '[{%' THEN 1 ELSE 0 END AS n_withdrawals FROM blocks""",
+    "historical_bad_rows": _with(*BAD_LOAD) + """SELECT dataset, start_block, end_block, status, attempt_count,
+  coalesce(rows_indexed, -1) AS rows_indexed, error_message FROM loaded""",
+    "stream_bad_ranges": _with(*BAD_STREAM) + """SELECT dataset, start_block, end_block, status, attempt_count,
+  coalesce(rows_indexed, -1) AS rows_indexed FROM loaded""",
+    "confirmed_windows": """SELECT day, n_events FROM (
+  SELECT date_trunc('day', CAST(ts AS TIMESTAMP))::TIMESTAMP AS day, count(*) AS n_events FROM events GROUP BY 1)
+WHERE day + INTERVAL 1 DAY <= (SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 12 HOUR FROM events)""",
+    "live_stream": """SELECT event_id, event_type FROM events
+WHERE CAST(ts AS TIMESTAMP) + INTERVAL 2 DAY > TIMESTAMP '2024-01-31 00:00:00'""",
     "ingest_metrics": _with(STATE, LATEST) + """SELECT dataset, ranges_completed_total, ranges_failed_total,
   rows_inserted_total, highest_completed_block, ranges_in_progress, head AS chain_head_block,
   head - highest_completed_block AS chain_lag_blocks
@@ -395,9 +468,9 @@ FROM took, (SELECT unnest([CAST(2592000 AS DOUBLE), 7776000, 15552000, 31536000,
 WHERE seconds IS NOT NULL GROUP BY dataset, le""",
     "rows_per_batch": """SELECT event_id // 100 * 100 AS start_block, event_id // 100 * 100 + 100 AS end_block,
   count(*) AS rows_indexed FROM events GROUP BY ALL""",
-    "rows_per_range": """WITH hits AS (SELECT l_orderkey AS n FROM lineitem WHERE l_returnflag = 'R'),
-ranges AS (SELECT s AS start_block, least(s + 10, e) AS end_block
-  FROM (SELECT e, unnest(range(0, e, 10)) AS s FROM (SELECT max(n) + 1 AS e FROM hits)))
+    "rows_per_range": """WITH hits AS (SELECT l_orderkey AS n FROM lineitem),
+ranges AS (SELECT s AS start_block, least(s + 3, e) AS end_block
+  FROM (SELECT e, unnest(range(0, e, 3)) AS s FROM (SELECT max(n) + 1 AS e FROM hits)))
 SELECT start_block, end_block, count(n) AS rows_indexed
 FROM ranges LEFT JOIN hits ON n >= start_block AND n < end_block GROUP BY ALL""",
     "partition_keys": """SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS part_month,

@@ -21,8 +21,8 @@ from spanledger.schemas import STATE_KEY, STATE_TABLE
 from spanledger.session import configure, work_folder
 from spanledger.sources import extracts
 from spanledger.sources.tables import TableStore, partition_value, unexpired
-from spanledger.streaming.dedup import stream_dedup
-from spanledger.streaming.ingest import stream_ingest
+from spanledger.streaming.dedup import confirmed_by_time, stream_dedup, unexpired_stream
+from spanledger.streaming.ingest import block_stream, stream_ingest
 
 VERSION = 1_000_000_000_000
 TX_COLUMNS = [*V.TX_KEY, "gas_limit", "gas_used", "value_f64", "input"]
@@ -68,9 +68,8 @@ def read_dataset(spark, d):
 
 
 def route_by_filename(spark, d):
-    known = ("orders", "lineitem", "events")
     routed = [
-        extracts.route_by_filename(V.table(spark, d, name), known).select("dataset") for name in known
+        extracts.route_by_filename(V.table(spark, d, name), V.TABLES).select("dataset") for name in V.TABLES
     ]
     return reduce(DataFrame.unionByName, routed).groupBy("dataset").agg(
         F.count(F.lit(1)).alias("n_rows")
@@ -144,6 +143,17 @@ def conform_schema(spark, d):
     )
 
 
+def schema_contract(spark, d):
+    """The columns of the transaction rows against the contract, with how many rows fill each."""
+    rows = _txs(spark, d).withColumn("gas_used", F.col("gas_used").cast("string"))
+    filled = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+    filled = filled.unpivot([], rows.columns, "name", "n_filled")
+    return (
+        quality.check_schema(rows, "transactions").join(filled, "name", "left")
+        .withColumn("n_filled", F.coalesce("n_filled", F.lit(0)))
+    )
+
+
 def usable_timestamps(spark, d):
     return V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS).select(
         "block_number",
@@ -378,9 +388,12 @@ def repair_plan_auto(spark, d):
 
 # -- reorg and metrics --------------------------------------------------------------------
 def detect_reorg(spark, d):
-    """Canonical hashes differ above 99 % of the chain."""
+    """Canonical hashes differ above 99 % of the chain, and the fork block is unknown; every
+    seventh block is stored in an older version too."""
     blocks = V.spark_view(spark, d, V.EVENT_BLOCKS).select("block_number", "block_hash")
     fork = _head(blocks) * 99 // 100
+    older = blocks.filter("block_number % 7 = 0").select("block_number", F.lit("old").alias("block_hash"))
+    stored = blocks.withColumn("insert_version", F.lit(2)).unionByName(older.withColumn("insert_version", F.lit(1)))
     changed = F.md5(F.concat(F.col("block_number").cast("string"), F.lit("x")))
     canonical = blocks.select(
         "block_number",
@@ -390,7 +403,7 @@ def detect_reorg(spark, d):
         ).alias("block_hash"),
     )
     canonical = canonical.withColumn("block_hash", F.regexp_replace("block_hash", "^0X", "0x"))
-    return reorg.detect_reorg(blocks, canonical)
+    return reorg.detect_reorg(stored, canonical.filter(F.col("block_number") != fork))
 
 
 def ingest_metrics(spark, d):
@@ -410,9 +423,8 @@ def rows_per_batch(spark, d):
 
 
 def rows_per_range(spark, d):
-    seen = V.table(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
-    rows = seen.withColumnRenamed("l_orderkey", "block_number")
-    return metrics.rows_per_range(rows, plan_ranges(spark, 0, _head(rows) + 1, 10))
+    rows = V.table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "block_number")
+    return metrics.rows_per_range(rows, plan_ranges(spark, 0, _head(rows) + 1, 3))
 
 
 # -- stored tables ------------------------------------------------------------------------
@@ -510,6 +522,23 @@ def compact_table(spark, d):
     return store.read("blocks").select("block_number", "insert_version")
 
 
+def table_ddl(spark, d):
+    """A stored table, declared by its own DDL and read through the catalog."""
+    store, _ = _event_store(spark, d, "ddl")
+    spark.sql("DROP TABLE IF EXISTS blocks")
+    spark.sql(store.ddl("blocks"))
+    spark.sql("MSCK REPAIR TABLE blocks")
+    return spark.table("blocks").select("block_number", "block_hash", "block_timestamp", "part_day", "insert_version")
+
+
+def delete_counts(spark, d):
+    """How many rows of which table a deletion reports."""
+    store, head = _event_store(spark, d, "delete-count")
+    both = store.delete_range("blocks", head // 4, head // 2)
+    own = store.delete_range("blocks", 3 * head // 4, head + 1, related=False)
+    return spark.sql(f"SELECT {both}L AS with_withdrawals, {own}L AS blocks_only")
+
+
 # -- whole operations ---------------------------------------------------------------------
 def _raw(spark, d, blocks=V.BLOCKS_WITH_DEFECTS) -> ops.RawZone:
     return ops.RawZone(
@@ -557,6 +586,56 @@ def auto_maintain_state(spark, d):
     return latest_state(store.state()).select(*STATE_KEY, "status", "rows_indexed")
 
 
+def _extracted(spark, name, frames) -> str:
+    """A folder with the files of each (dataset, frame), named as an extraction names them."""
+    jvm = spark._jvm
+    folder = work_folder(spark, name)
+    for i, (dataset, frame) in enumerate(frames):
+        frame.write.parquet(f"{folder}-{i}")
+        source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{folder}-{i}", folder))
+        fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(target)
+        for k, found in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(source, "part-*.parquet"))):
+            fs.rename(found.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"net__{dataset}__{i}-{k}.parquet"))
+        fs.delete(source, True)
+    return folder
+
+
+def historical_files(spark, d):
+    """Files of one dataset with different columns in different order: all columns are loaded."""
+    blocks = V.spark_view(spark, d, V.BLOCKS)
+    poor = blocks.filter("block_number % 2 = 0").select("timestamp", "block_hash", "block_number")
+    rich = blocks.filter("block_number % 2 = 1").select("withdrawals", "block_number", "gas_used", "timestamp", "block_hash")
+    store = _store(spark, "files")
+    raw = ops.RawZone(_extracted(spark, "zone", [("blocks", poor), ("blocks", rich)]))
+    ops.historical(store, raw, 0, _head(blocks) + 1, ["blocks"], as_of=V.AS_OF, version=VERSION)
+    withdrawn = store.latest("withdrawals").groupBy("block_number").agg(F.count(F.lit(1)).alias("n"))
+    return store.latest("blocks").join(withdrawn, "block_number", "left").select(
+        "block_number", "block_hash", "timestamp", F.coalesce("gas_used", F.lit(-1)).alias("gas_used"),
+        F.coalesce("n", F.lit(0)).alias("n_withdrawals"),
+    )
+
+
+def _raw_with_bad_rows(spark, d) -> ops.RawZone:
+    blocks, txs = V.spark_view(spark, d, V.BLOCKS), _newest_txs(spark, d)
+    gas = F.when(F.col("block_number") % 977 == 3, "many").otherwise(F.col("gas_used").cast("string"))
+    limit = F.when(F.col("block_number") % 883 == 5, "lots").otherwise(F.col("gas_limit").cast("string"))
+    return ops.RawZone(
+        frames={"blocks": blocks.withColumn("gas_used", gas), "transactions": txs.withColumn("gas_limit", limit)}
+    )
+
+
+def historical_bad_rows(spark, d):
+    """Values that don't fit their column: only the ranges that hold one fail."""
+    store, raw = _store(spark, "bad"), _raw_with_bad_rows(spark, d)
+    ops.historical(
+        store, raw, 0, _head(raw.frames["blocks"]) + 1, ["blocks", "transactions"], as_of=V.AS_OF, version=VERSION
+    )
+    return _no_null_count(latest_state(store.state())).select(
+        *STATE_KEY, "status", "attempt_count", "rows_indexed", "error_message"
+    )
+
+
 # -- streams ------------------------------------------------------------------------------
 def _file_stream(spark, d, name):
     schema = V.table(spark, d, name).schema
@@ -582,6 +661,45 @@ def stream_ingest_rows(spark, d):
     return _ingested(spark, d).latest("transactions").select(*TX_COLUMNS, "block_timestamp")
 
 
+def stream_bad_ranges(spark, d):
+    """Four micro-batches; ranges with a bad row are tried again, given up, and don't hold up others."""
+    raw = _raw_with_bad_rows(spark, d)
+    blocks = V.spark_view(spark, d, V.BLOCKS).select("block_number")
+    head = _head(blocks)
+    parts = [
+        ("blocks", blocks.filter((F.col("block_number") > head * k // 4) & (F.col("block_number") <= head * (k + 1) // 4)).coalesce(1))
+        for k in range(4)
+    ]
+    folder = _extracted(spark, "heads", parts)
+    store = _store(spark, "stream-bad")
+    stream = block_stream(spark, folder, blocks.schema, files_per_batch=1)
+    stream_ingest(
+        store, raw, stream, ["blocks", "transactions"], store.path("_checkpoint"), max_retries=1
+    ).awaitTermination()
+    return _no_null_count(latest_state(store.state())).select(*STATE_KEY, "status", "attempt_count", "rows_indexed")
+
+
+def confirmed_windows(spark, d):
+    """Days of the event stream that are complete at a depth of 12 blocks of an hour."""
+    events = _file_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = work_folder(spark, "confirmed")
+    days = confirmed_by_time(events, 12, 3600, "ts").groupBy(F.window("ts", "1 day")).agg(F.count(F.lit(1)).alias("n_events"))
+    days.select(F.col("window.start").alias("day"), "n_events").writeStream.option(
+        "checkpointLocation", f"{out}/_checkpoint"
+    ).trigger(availableNow=True).format("parquet").start(f"{out}/rows").awaitTermination()
+    return spark.read.schema("day TIMESTAMP, n_events BIGINT").parquet(f"{out}/rows")
+
+
+def live_stream(spark, d):
+    """Rows of the event stream that the live tier still takes."""
+    events = _file_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = work_folder(spark, "live")
+    unexpired_stream(events, 2, "ts", as_of="2024-01-31 00:00:00").select("event_id", "event_type").writeStream.option(
+        "checkpointLocation", f"{out}/_checkpoint"
+    ).trigger(availableNow=True).format("parquet").start(f"{out}/rows").awaitTermination()
+    return spark.read.schema("event_id BIGINT, event_type STRING").parquet(f"{out}/rows")
+
+
 def stream_dedup_query(spark, d):
     """Two replays of the event stream leave each event once."""
     once = _file_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -608,6 +726,7 @@ QUERIES = {
     "hex_pages": hex_pages,
     "clean_blocks": clean_blocks,
     "conform_schema": conform_schema,
+    "schema_contract": schema_contract,
     "usable_timestamps": usable_timestamps,
     "latest_txs": latest_txs,
     "latest_state": latest_range_state,
@@ -661,12 +780,19 @@ QUERIES = {
     "replace_ranges": replace_ranges,
     "expire_live": expire_live,
     "compact_table": compact_table,
+    "table_ddl": table_ddl,
+    "delete_counts": delete_counts,
+    "historical_files": historical_files,
+    "historical_bad_rows": historical_bad_rows,
     "historical_state": historical_state,
     "historical_rows": historical_rows,
     "maintain_state": maintain_state,
     "auto_maintain_state": auto_maintain_state,
     "stream_ingest_state": stream_ingest_state,
     "stream_ingest_rows": stream_ingest_rows,
+    "stream_bad_ranges": stream_bad_ranges,
+    "confirmed_windows": confirmed_windows,
+    "live_stream": live_stream,
     "stream_dedup": stream_dedup_query,
 }
 

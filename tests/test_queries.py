@@ -11,7 +11,8 @@ SMALL = "/root/testdata/sf0.001"
 ELSEWHERE = {
     "historical_state", "historical_rows", "maintain_state", "auto_maintain_state",
     "stream_ingest_state", "stream_ingest_rows", "append_versioned", "delete_range",
-    "replace_ranges", "expire_live", "compact_table", "range_status",
+    "replace_ranges", "expire_live", "compact_table", "range_status", "stream_bad_ranges", "historical_files",
+    "historical_bad_rows",
 }
 
 

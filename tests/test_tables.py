@@ -356,3 +356,81 @@ def test_command_line(spark, tmp_path):
     assert main(["validate", *base]) == 1
     live.expire_live(datetime(2024, 1, 6, 6))
     assert rows(live.read("transactions").select(F.min("block_number"))) == [(14,)]
+
+
+def test_failing_blocks_leave_the_old_rows(spark, store, monkeypatch):
+    """Whatever breaks while new rows are made, a repair takes nothing away before they stand."""
+    ops.historical(store, zone(spark, 20, bad=[3]), 0, 20, NAMES, batch=10, as_of=AT, version=100)
+    before = rows(store.read("blocks"))
+    broken = zone(spark, 20)
+    broken.frames["blocks"] = broken.frames["blocks"].withColumn(
+        "block_hash", F.when(F.col("block_number") == 4, F.raise_error(F.lit("no such block"))).otherwise(F.col("block_hash"))
+    )
+    ops.maintain(store, broken, NAMES, batch=10, min_gap=1, as_of="2024-03-02 00:00:00", version=200)
+    assert rows(store.read("blocks")) == before
+    state = latest_state(store.state())
+    assert rows(state.filter("start_block = 0"), "dataset", "status") == [("blocks", "failed"), ("transactions", "failed")]
+    assert state.filter("status = 'processing'").count() == 0
+
+
+def test_a_poorer_file_first_or_last(spark, tmp_path):
+    rich = raw_blocks(spark, 4).withColumn("gas_used", F.lit(7))
+    poor = raw_blocks(spark, 8).filter("block_number >= 4").drop("withdrawals").select("timestamp", "block_number", "block_hash")
+    for names in (("a", "b"), ("b", "a")):
+        folder = tmp_path / "".join(names)
+        for name, frame in zip(names, (poor, rich)):
+            frame.coalesce(1).write.parquet(str(folder / f"blocks-{name}"))
+        for i, part in enumerate(sorted(folder.glob("*/part-*.parquet"))):
+            part.rename(folder / f"net__blocks__{i}.parquet")
+        store = TableStore(spark, work_folder(spark, "files"), "day")
+        ops.historical(store, ops.RawZone(str(folder)), 0, 8, ["blocks"], batch=4, as_of=AT, version=1)
+        assert rows(store.latest("blocks").filter("gas_used = 7"), "block_number") == [(0,), (1,), (2,), (3,)]
+        assert store.latest("withdrawals").count() == 4
+
+
+def test_children_alone_need_only_their_own_blocks(spark, store):
+    ops.historical(store, zone(spark, 20, missing=[5, 12]), 0, 20, ["blocks"], batch=10, as_of=AT, version=100)
+    raw = zone(spark, 20)
+    raw.frames["transactions"] = raw.frames["transactions"].filter("block_number <> 5")
+    ops.historical(store, raw, 0, 20, ["transactions"], batch=10, as_of=AT, version=200)
+    state = latest_state(store.state()).filter("dataset = 'transactions'")
+    assert rows(state, "start_block", "status", "error_message") == [
+        (0, "completed", None), (10, "failed", "2 rows rejected, such as: null_timestamp"),
+    ]
+
+
+def test_equal_versions_read_alike(spark, store):
+    twice = stamped(raw_blocks(spark, 4)).unionByName(stamped(raw_blocks(spark, 4)).withColumn("block_hash", F.lit("z")))
+    store.append(twice, "blocks", 1)
+    assert {r.block_hash for r in store.latest("blocks").collect()} == {"z"}
+
+
+def test_deletes_push_their_bounds(spark, store, monkeypatch):
+    store.append(stamped(raw_blocks(spark, 20)), "blocks", 1)
+    plans = []
+    real = TableStore.put_work
+    monkeypatch.setattr(
+        TableStore, "put_work",
+        lambda self, df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(self, df, name),
+    )
+    assert store.delete_range("blocks", 6, 14, related=False) == 8
+    assert "GreaterThanOrEqual(block_number,6)" in plans[0] and "LessThan(block_number,14)" in plans[0]
+
+
+def test_a_restart_after_a_bad_row_goes_on(spark, store, tmp_path):
+    raw = zone(spark, 47)
+    gas = F.when(F.col("block_number") == 13, "many").otherwise("1")
+    raw.frames["blocks"] = raw.frames["blocks"].withColumn("gas_used", gas)
+    raw_blocks(spark, 47).coalesce(1).write.parquet(str(tmp_path / "blocks"))
+    part = next((tmp_path / "blocks").glob("part-*.parquet"))
+    part.rename(tmp_path / "net__blocks__1.parquet")
+    stream = block_stream(spark, str(tmp_path), raw_blocks(spark, 1).schema)
+    for _ in range(2):
+        stream_ingest(
+            store, raw, stream, NAMES, store.path("_checkpoint"), batch_size=10, confirmations=6
+        ).awaitTermination()
+    state = latest_state(store.state())
+    assert rows(state.filter("status = 'failed'"), "dataset", "start_block", "attempt_count") == [
+        ("blocks", 10, 1), ("transactions", 10, 1),
+    ]
+    assert state.filter("status = 'completed'").count() == 6

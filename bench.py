@@ -35,7 +35,7 @@ READS = (
     "detect_reorg",
     "duration_histogram",
 )
-WRITES = ("append_versioned", "historical_state", "stream_dedup")
+WRITES = ("append_versioned", "delete_range", "replace_ranges", "expire_live", "historical_state", "stream_dedup")
 
 
 def main() -> None:

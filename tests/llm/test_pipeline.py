@@ -14,7 +14,7 @@ def test_all_ten_and_the_pipeline_are_registered():
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name):
-    assert compare(spark, duck_connection(SMALL), SMALL, name) == ""
+    assert compare(spark, duck_connection(SMALL), SMALL, name, QUERIES, ORACLES) == ""
 
 
 def test_stages_one_after_another(spark):

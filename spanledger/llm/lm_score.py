@@ -17,8 +17,11 @@ counted and scored each. An empty table gives an empty result. Further columns a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +35,13 @@ BUCKET_BYTES = 8 << 20
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers with their first bytes together, then their second, and so on: what differs little packs well."""
-    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    """Numbers with their first bytes together, then their second, and so on, packed: what differs little gets small."""
+    return zstandard.ZstdCompressor(level=1).compress(numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes())
 
 
 def _numbers(planes: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
+    planes = zstandard.ZstdDecompressor().decompress(planes)
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
@@ -110,9 +114,10 @@ def score(
     batches = partitions_for(total, batch_bytes)
     buckets = 1 << (partitions_for(total, bucket_bytes) - 1).bit_length()
     dealt = rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).alias("batch"))
+    dealt = dealt.mapInArrow(_deal, "batch bigint, part binary")
 
     def ask(group: pa.Table) -> pa.Table:
-        hashes, counts, _ = _grams(group, order).distinct()
+        hashes, counts, _ = Grams(text_column(_documents(group), "text"), order).distinct()
         cuts = _cuts(hashes, buckets).tolist()
         used = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
         return pa.table({
@@ -139,7 +144,8 @@ def score(
         })
 
     def judge(group: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = _grams(group, order)
+        docs = _documents(group)
+        grams = Grams(text_column(docs, "text"), order)
         _, _, place = grams.distinct()
         parts = sorted(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist()))
         known = np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(x) for _, x in parts), [0]])  # place -1 is 0
@@ -158,7 +164,7 @@ def score(
         per = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[np.concatenate(([0], ends))])
         sums = [float(logs[a:b].sum()) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
         return pa.table({
-            "doc_id": group.column("doc_id"), "n_words": pa.array(grams.words, pa.int64()),
+            "doc_id": docs.column(0), "n_words": pa.array(grams.words, pa.int64()),
             "n_backed": pa.array(per(level < reach), pa.int64()), "n_alone": pa.array(per(level == 1), pa.int64()),
             "log_score": pa.array(sums, pa.float64()),
         })
@@ -175,6 +181,25 @@ def score(
     return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
 
 
-def _grams(group: pa.Table, order: int) -> Grams:
-    texts = text_column(group.select(["text"]).combine_chunks().to_batches()[0], "text") if len(group) else pa.array([], pa.large_binary())
-    return Grams(texts, order)
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of one batch together in one packed row, which is smaller than row by row."""
+    for rows in batches:
+        batch = rows.column(2).to_numpy()
+        order = np.argsort(batch, kind="stable")
+        cuts = np.flatnonzero(np.diff(batch[order], prepend=-1, append=-1)).tolist()
+        docs, parts = rows.select(["doc_id", "text"]).take(pa.array(order)), []
+        for a, b in zip(cuts, cuts[1:]):
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+            with pa.ipc.new_stream(sink, docs.schema, options=options) as stream:
+                stream.write_batch(docs.slice(a, b - a))
+            parts.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(batch[order][cuts[:-1]], pa.int64()), pa.array(parts, pa.binary())], names=["batch", "part"]
+        )
+
+
+def _documents(group: pa.Table) -> pa.RecordBatch:
+    """All documents of a group of packed rows."""
+    parts = [pa.ipc.open_stream(x).read_all() for x in group.column("part").to_pylist()]
+    return pa.concat_tables(parts).combine_chunks().to_batches()[0]

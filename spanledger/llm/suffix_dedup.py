@@ -264,9 +264,11 @@ def repeats(
     """key (of a text) and spans: sorted ranges of bytes that repeated windows cover, not yet merged."""
     texts = docs.select(text_key().alias("key"), "text")
     found = written(segments(texts, length, anchor), "segments")
-    often = found.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # Written, so that joins stand on plain exchanges, in which adaptive execution splits a hot anchor.
+    often = written(found.groupBy("anchor").count().filter("count > 1").select("anchor"), "often")
     shared = written(found.join(often, "anchor", "left_semi"), "shared")
     kinds = shared.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("key", "lo", "run")).alias("one"))
+    kinds = written(kinds, "kinds")
     per = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
     mixed = (
         kinds.join(per.filter("kinds > 1 AND least = 1"), "anchor")

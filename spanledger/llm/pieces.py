@@ -33,9 +33,10 @@ from spanledger.llm.common import text_blocks, text_column
 
 MARK = "▁"
 MODEL_BYTES = 64 << 20
-CACHE_UNITS = 500_000
-TEXT_BYTES = 4 << 20
+CACHE_UNITS = 400_000
+TEXT_BYTES = 1 << 20
 LONG_UNIT = 48
+BATCH_UNITS = 16_000
 NBEST = 3
 _NONE = -np.inf
 
@@ -241,8 +242,8 @@ class Encoder:
             self.forget()
             missing = distinct
         plain = [u for u in missing if len(u) <= LONG_UNIT and self.known.issuperset(u)]
-        for at in range(0, len(plain), 50_000):
-            some = plain[at : at + 50_000]
+        for at in range(0, len(plain), BATCH_UNITS):
+            some = plain[at : at + BATCH_UNITS]
             self._add(some, *batch(self.vocabulary, some))
         for u in missing.difference(plain):
             first, *more = Lattice(self.vocabulary, u).nbest(2)

@@ -16,11 +16,11 @@ BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The frame as a table in the shared folder: computed once, and safe when an executor is lost."""
     spark = df.sparkSession
     path = work_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**{"compression": codec, "parquet.compression.codec.zstd.level": "6"}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -224,7 +224,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.col("value").cast("binary").alias("value"),
     )
-    chunks = written(raw.mapInArrow(_chunks, _CHUNKS), "chunks")
+    chunks = written(raw.mapInArrow(_chunks, _CHUNKS), "chunks", "zstd")  # as large as the archives
     chain, bases = boundaries(chunks)
     placed = chunks.join(bases, ["file", "block"]).withColumn("at", F.col("base") + F.col("rel") - len(MAGIC)).drop("base")
     records = placed.join(chain.select("file", F.col("off").alias("at"), "next"), ["file", "at"]).withColumnRenamed("at", "off")

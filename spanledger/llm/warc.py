@@ -2,7 +2,8 @@
 
 Writing: one record per page, in as many files as the frame has partitions, without compression so that large files can be
 split. Equal payloads of at least revisit_bytes are stored once: the record with the largest page_id is a response, the others
-are revisits of it, with the HTTP header (and so the length) and the digest of the payload.
+are revisits of it, with the HTTP header (and so the length) and the digest of the payload. Only digests are shuffled to find
+equal payloads; those that are there twice or more are broadcast if they are few, else the pages are shuffled by digest too.
 
 Reading: files are cut at every version line, also inside payloads, by as many tasks as there are splits. Every cut is a
 candidate record; its header names its successor's offset. Inside a split the successors are followed to where they leave it;
@@ -31,6 +32,7 @@ from spanledger.session import work_folder
 MAGIC = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
 REVISIT_BYTES = 1000
+BROADCAST_ROWS = 200_000  # payloads with copies, at about 150 bytes each; with more of them the pages are shuffled
 DATE = "2024-01-01T00:00:00Z"
 _CHUNKS = (
     "file string, block bigint, rel bigint, size bigint, total bigint, header int, record_type string, record_id string, "
@@ -40,8 +42,11 @@ _CHUNKS = (
 
 # ------------------------------------------------------------------ writing
 
-def with_revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, payload (string), payload_bytes, digest, and refers_to (null for responses) with is_revisit."""
+def with_revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """page_id, url, payload (string), payload_bytes, digest, and refers_to (null for responses) with is_revisit.
+
+    Payloads with copies are counted here; up to broadcast_rows of them are broadcast, so that no payload moves.
+    """
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(
         "page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
@@ -49,6 +54,8 @@ def with_revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataF
     )
     key = rows.select("page_id", "payload_bytes", "digest").filter(F.col("payload_bytes") >= revisit_bytes)
     last = key.groupBy("digest", "payload_bytes").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1")
+    last = written(last, "copies")
+    last = F.broadcast(last) if last.count() <= broadcast_rows else last.hint("merge")
     revisit = F.col("n").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return rows.join(last, ["digest", "payload_bytes"], "left").select(
         "page_id", "url", "payload", "payload_bytes", "digest", revisit.alias("is_revisit"),
@@ -233,10 +240,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     broken = written(records.filter(F.col("own_digest").isNull()).select("file", "block", "off", "next"), "broken")
     ends = Window.partitionBy("file").orderBy("base")
     spans = bases.select("file", "block", "base", F.lead("base", 1, 1 << 62).over(ends).alias("stop"))
-    covered = (
-        broken.drop("block").join(spans, "file").filter((F.col("base") <= F.col("next")) & (F.col("stop") >= F.col("off")))
-        .select("file", "block", "off", "next")
-    )
+    covered = broken.drop("block").join(spans, "file").filter((F.col("base") <= F.col("next")) & (F.col("stop") >= F.col("off")))
+    covered = written(covered.select("file", "block", "off", "next"), "covered")  # known to be small, where it is
     pieces = (
         covered.join(placed.select("file", "block", "at", "header", "data"), ["file", "block"])
         .filter((F.col("at") >= F.col("off")) & (F.col("at") < F.col("next")))

@@ -49,3 +49,11 @@ def test_payloads_come_back_and_revisits_have_none(spark, tmp_path):
 
 def test_no_pages(spark):
     assert op.round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_copies_are_found_by_broadcast_and_by_shuffle(spark):
+    rows = [(i, "u", "c" * 1500 if i % 3 else f"{i}" * 1200) for i in range(60)] + [(None, "u", "c" * 1500), (60, "u", None)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    key = lambda r: (r.page_id is None, r.page_id)
+    few, many = (sorted(op.with_revisits(frame, broadcast_rows=n).collect(), key=key) for n in (1, 0))
+    assert few == many and [r.refers_to for r in few if r.is_revisit] == [59] * 40

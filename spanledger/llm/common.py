@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from spanledger.session import work_folder
 
 BLOCK_BYTES = 1 << 20
+ARROW_BYTES = 4 << 20  # of rows that a worker gets at once; one longer row is a batch
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -47,6 +49,47 @@ def partitions_for(total: int, each: int, least: int = 1) -> int:
 
 # ------------------------------------------------------------------ text in Arrow batches
 
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """An object that stays in the worker process for the tasks of this kind that follow; one name at a time."""
+    if name not in _kept:
+        release()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def release() -> None:
+    """Forgets what is kept in this worker process, whose next task is of another kind, and gives free memory back."""
+    _kept.clear()
+    trim()
+
+
+def trim() -> None:
+    """Gives memory that this process has freed back to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
+def in_batches(df: DataFrame, run, schema, keeps: bool = False, most: int = ARROW_BYTES) -> DataFrame:
+    """mapInArrow over batches of about most bytes. Workers are reused: before and after a task, free memory goes back.
+
+    keeps: run uses `kept`, so what is kept stays.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release()
+        yield from run(batches)
+        trim()
+
+    return df.mapInArrow(start, schema)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column as large strings without nulls (null reads as the empty text)."""
     column = batch.column(batch.schema.get_field_index(name))

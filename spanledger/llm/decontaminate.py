@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanledger.llm.common import Words, fold, free_name, partitions_for, text_blocks, text_column, written
+from spanledger.llm.common import Words, fold, free_name, in_batches, partitions_for, text_blocks, text_column, written
 
 WINDOW = 10
 BLOCK_GRAMS = 200_000
@@ -134,7 +134,7 @@ def hit_words(
         own = [(r[0], bytes(r[1]), r[2]) for r in grams.filter(F.col("block") == block).drop("block").collect()]
         if own:
             sent = spark.sparkContext.broadcast(own)
-            out = out.mapInArrow(_hit_pass(sent, out.schema, hits, items, "text"), out.schema)
+            out = in_batches(out, _hit_pass(sent, out.schema, hits, items, "text"), out.schema)
             if block + 1 < blocks:
                 out = written(out, "hits")
                 sent.unpersist()
@@ -163,7 +163,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_grams:
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    return out.mapInArrow(count, REPORT.format(kind))
+    return in_batches(out, count, REPORT.format(kind))
 
 
 def decontaminate(
@@ -202,4 +202,4 @@ def decontaminate(
                 columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return out.mapInArrow(cut, out.schema).drop(hits, items)
+    return in_batches(out, cut, out.schema).drop(hits, items)

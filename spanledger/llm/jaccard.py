@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import Words, fold, free_name, mix, partitions_for, text_blocks, text_column, written
+from spanledger.llm.common import Words, fold, free_name, in_batches, mix, partitions_for, text_blocks, text_column, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -108,7 +108,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, digest of the shingle set (null: none), its size n, and the MinHash values."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_key().alias("text_key"), "text")
-    return rows.mapInArrow(_sketch, f"doc_id {kind}, text_key binary, digest binary, n int, values binary")
+    return in_batches(rows, _sketch, f"doc_id {kind}, text_key binary, digest binary, n int, values binary")
 
 
 def _candidates(sets: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     tasks = partitions_for(each.agg(F.sum(8 * F.col("n").cast("long"))).first()[0], 8 << 20)
     needed = each.select("digest").distinct().join(sets.select("digest", "doc_id"), "digest").alias("w")
     texts = docs.select("doc_id", "text").alias("t").join(needed, F.expr("t.doc_id <=> w.doc_id")).select("w.digest", "t.text")
-    full = texts.mapInArrow(_full_sets, "digest binary, shingles binary")
+    full = in_batches(texts, _full_sets, "digest binary, shingles binary")
     task = F.pmod(F.xxhash64("grp"), F.lit(tasks)).alias("task")
     sent = each.select("digest", task).distinct().join(full, "digest").select("task", "digest", "shingles")
     verified = groups.select(task, "members", "pairs").groupBy("task").cogroup(sent.groupBy("task")).applyInArrow(

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import Words, fold, partitions_for, text_blocks, text_column, written
+from spanledger.llm.common import Words, fold, in_batches, partitions_for, text_blocks, text_column, written
 
 ORDER = 3
 MIN_COUNT = 2
@@ -114,7 +114,7 @@ def score(
     batches = partitions_for(total, batch_bytes)
     buckets = 1 << (partitions_for(total, bucket_bytes) - 1).bit_length()
     dealt = rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).alias("batch"))
-    dealt = dealt.mapInArrow(_deal, "batch bigint, part binary")
+    dealt = in_batches(dealt, _deal, "batch bigint, part binary", most=64 << 20)  # the larger, the better packed
 
     def ask(group: pa.Table) -> pa.Table:
         hashes, counts, _ = Grams(text_column(_documents(group), "text"), order).distinct()

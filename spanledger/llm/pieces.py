@@ -18,6 +18,7 @@ model's bytes (at most MODEL_BYTES); nothing of the documents is gathered, and e
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import itertools
 import re
@@ -29,7 +30,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from spanledger.llm.common import text_blocks, text_column
+from spanledger.llm.common import in_batches, kept, text_blocks, text_column
 
 MARK = "▁"
 MODEL_BYTES = 64 << 20
@@ -319,16 +320,9 @@ class Encoder:
         return raw[raw.startswith(b" ") :].decode("utf-8", "replace")
 
 
-_encoders: dict[int, tuple[bytes, Encoder]] = {}
-
-
 def _encoder(model: bytes) -> Encoder:
     """One per worker process, for the tasks that follow each other in it."""
-    key = hash(model)
-    if _encoders.get(key, (None,))[0] != model:
-        _encoders.clear()
-        _encoders[key] = model, Encoder(Vocabulary(model))
-    return _encoders[key][1]
+    return kept(f"encoder {hashlib.sha256(model).hexdigest()}", lambda: Encoder(Vocabulary(model)))
 
 
 def read_model(path: str) -> bytes:
@@ -390,7 +384,7 @@ def encode(docs: DataFrame, model: bytes, n_best: int = NBEST) -> DataFrame:
         f"doc_id {kind}, n_bytes bigint, n_pieces bigint, score double, nbest_scores array<double>, "
         "nbest_pieces array<bigint>, round_trip boolean, ids array<int>"
     )
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return in_batches(docs.select("doc_id", "text"), run, schema, keeps=True)
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -404,4 +398,4 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
             texts = [encoder.decode(x or []) for x in rows.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return in_batches(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, text string", keeps=True)

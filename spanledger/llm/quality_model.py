@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import free_name, text_blocks, text_column
+from spanledger.llm.common import free_name, in_batches, text_blocks, text_column
 
 PIECE = 1024
 SAMPLE = 800
@@ -148,7 +148,7 @@ def _scored(docs: DataFrame, model: Model, column: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, column])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kinds}, `{column}` double")
+    return in_batches(docs, run, f"{kinds}, `{column}` double")
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanledger.llm.common import free_name, mix, partitions_for, powers, prefix_sums, raw_bytes, text_blocks, text_column, written
+from spanledger.llm.common import free_name, in_batches, mix, partitions_for, powers, prefix_sums, raw_bytes, text_blocks, text_column, written
 
 LENGTH = 400
 ANCHOR = 96
@@ -100,7 +100,7 @@ def segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
                         names=["key", "anchor", "digest", "lo", "run"],
                     )
 
-    return texts.select("key", "text").mapInArrow(run, "key binary, anchor bigint, digest binary, lo bigint, run int")
+    return in_batches(texts.select("key", "text"), run, "key binary, anchor bigint, digest binary, lo bigint, run int")
 
 
 # ------------------------------------------------------------------ suffix arrays
@@ -362,7 +362,7 @@ def report(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataF
             )
 
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return marked.select("doc_id", "text", spans).mapInArrow(run, schema)
+    return in_batches(marked.select("doc_id", "text", spans), run, schema)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -382,4 +382,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
                 columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return marked.mapInArrow(run, marked.schema).drop(key, spans).select(*docs.columns)
+    return in_batches(marked, run, marked.schema).drop(key, spans).select(*docs.columns)

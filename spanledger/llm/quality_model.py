@@ -9,8 +9,10 @@ Labelled documents come from a bounded sample: at most sample documents of each
 doc_id) with at most sample_bytes of text together, of which half make the dictionary and half the curve. Dictionaries leave
 out a text's first OPENING bytes, which are often a line that many documents share. Scoring reads every text whole, in the task that read it.
 
-Null and empty texts have features of 0. Labels of unknown documents are ignored, as are null labels; of documents with
-several labels or texts all count. Without labels of both classes every score is the share of good labels (0.5 without
+Null and empty texts have features of 0. Labels of unknown documents are ignored, as are null labels; a repeated label is
+one. A document with labels of both classes is in both. However many rows it has, a document has one place in its class: in
+the dictionary with one of its texts (that of the smallest hash), in the curve with the compressed sizes of all of them, summed in the tasks
+that read them. Without labels of both classes every score is the share of good labels (0.5 without
 any). An empty table gives an empty result. Further columns pass through `filter_quality` and are not read by `score`.
 """
 
@@ -59,18 +61,18 @@ class Scorer:
             for d in (model.good, model.bad)
         ] if model.good and model.bad else []
 
-    def features(self, text: memoryview | bytes) -> tuple[float, float, float]:
-        """Bytes that the good dictionary saves over the bad one, per byte and per compressed byte; compressed bytes per byte."""
-        if not len(text) or not self.packers:
-            return 0.0, 0.0, 0.0
+    def sizes(self, text: memoryview | bytes) -> tuple[int, int, int]:
+        """Bytes of the text, and compressed with either dictionary."""
         good, bad = (p.compress for p in self.packers)
         with_good = with_bad = 0
         for at in range(0, len(text), PIECE):
             piece = text[at : at + PIECE]
             with_good += len(good(piece))
             with_bad += len(bad(piece))
-        both, saved = with_good + with_bad, with_bad - with_good
-        return saved / len(text), saved / both, both / len(text)
+        return len(text), with_good, with_bad
+
+    def features(self, text: memoryview | bytes) -> tuple[float, float, float]:
+        return _features(*self.sizes(text)) if len(text) and self.packers else (0.0, 0.0, 0.0)
 
     def score(self, features: tuple[float, ...]) -> float:
         *weights, bias = self.model.weights
@@ -78,6 +80,12 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
+def _features(size: int, with_good: int, with_bad: int) -> tuple[float, float, float]:
+    """Bytes that the good dictionary saves over the bad one, per byte and per compressed byte; compressed bytes per byte."""
+    both, saved = with_good + with_bad, with_bad - with_good
+    return saved / size, saved / both, both / size
+
+
 def _prepared(raw: bytes) -> zstandard.ZstdCompressionDict:
     d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(level=LEVEL)
@@ -110,27 +118,46 @@ def _curve(points: list[tuple[float, ...]], marks: list[int]) -> tuple[float, ..
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """The model from at most sample labelled documents per class whose bucket isn't 0."""
-    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     known = known.filter(F.col("quality").isin(0, 1) & (bucket(F.col("doc_id")) != 0))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = known.filter("quality = 1").orderBy(*order).limit(sample).unionByName(
         known.filter("quality = 0").orderBy(*order).limit(sample)
     )  # bounded: 2 * sample ids
     text = F.substring(F.encode(F.col("text"), "UTF-8"), 1, sample_bytes // (2 * sample)).alias("text")
-    limit = 4 * sample  # ids may repeat
+    texts = docs.select("doc_id", text).filter(F.length("text") > 0)
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
     rows = (
-        docs.select("doc_id", text).join(F.broadcast(chosen.distinct()), "doc_id").filter(F.length("text") > 0)
-        .orderBy(*order, "text").limit(limit).collect()
-    )
-    by = {q: [bytes(r.text) for r in rows if r.quality == q] for q in (0, 1)}
+        texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(one).orderBy(*order).collect()
+    )  # bounded: a row per chosen id and class
+    by = {q: [r for r in rows if r.quality == q] for q in (0, 1)}
     if not by[0] or not by[1]:
         n = len(by[0]) + len(by[1])
         share = (len(by[1]) + 0.5) / (n + 1)
         return Model(b"", b"", (0.0, 0.0, 0.0, math.log(share / (1 - share))))
-    model = Model(_dictionary(by[1][::2]), _dictionary(by[0][::2]), ())
-    scorer = Scorer(model)
-    rest = [(t, q) for q in (0, 1) for t in (by[q][1::2] or by[q])]
-    return model._replace(weights=_curve([scorer.features(t) for t, _ in rest], [q for _, q in rest]))
+    model = Model(*(_dictionary([bytes(r.text) for r in by[q][::2]]) for q in (1, 0)), ())
+    rest = [(r.doc_id, q) for q in (0, 1) for r in (by[q][1::2] or by[q])]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    points = _sizes(texts.join(F.broadcast(docs.sparkSession.createDataFrame(rest, f"doc_id {kind}, quality int")), "doc_id"), model)
+    sums = points.groupBy("doc_id", "quality").agg(*(F.sum(c).alias(c) for c in ("size", "with_good", "with_bad")))
+    sums = sums.orderBy(*order, "quality").collect()  # bounded: a row per id of the curve
+    return model._replace(weights=_curve([_features(r.size, r.with_good, r.with_bad) for r in sums], [r.quality for r in sums]))
+
+
+def _sizes(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, quality, size, with_good and with_bad of each row with a text that is bytes."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(Model(*sent.value))
+        for batch in batches:
+            sizes = [scorer.sizes(t.as_buffer()) for t in text_column(batch, "text")]
+            columns = [pa.array([s[k] for s in sizes], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["doc_id", "quality", "size", "with_good", "with_bad"])
+
+    rows = docs.select("doc_id", "quality", "text")
+    return in_batches(rows, run, f"doc_id {kind}, quality int, size bigint, with_good bigint, with_bad bigint")
 
 
 def _scored(docs: DataFrame, model: Model, column: str) -> DataFrame:

@@ -2,6 +2,7 @@ import re
 
 import pytest
 from llm.conftest import SMALL, shown
+from pyspark.sql import functions as F
 
 from spanledger.llm import quality_model as model
 from spanledger.llm import quality_rules as rules
@@ -70,3 +71,38 @@ def test_classifier_without_both_classes(spark, docs, no_docs, labels):
     assert len(rows) == docs.count() and len({r.score for r in rows}) == 1
     assert model.filter_quality(no_docs, frame).count() == 0
     assert model.filter_quality(docs, frame).columns == docs.columns
+
+
+def labelled(spark, sample):
+    """Documents, labels, and the rows of good ids of the sample in its order."""
+    docs, labels = table(spark, SMALL, "documents").select("doc_id", "text"), table(spark, SMALL, "labels")
+    good = labels.filter("quality = 1").filter(model.bucket(labels.doc_id) != 0).join(docs, "doc_id")
+    return docs, labels, good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+
+
+def test_repeated_labels_and_rows_do_not_push_others_out_of_the_sample(spark):
+    docs, labels, good = labelled(spark, 20)
+    plain = model.fit(docs, labels, 20)
+    hot = labels.filter(labels.doc_id == good[3].doc_id).crossJoin(spark.range(50)).drop("id")
+    assert model.fit(docs, labels.unionByName(hot), 20) == plain
+    for k in (2, 3):  # one makes the dictionary, one the curve
+        hot = docs.filter(docs.doc_id == good[k].doc_id).crossJoin(spark.range(100)).drop("id")
+        assert model.fit(docs.unionByName(hot), labels, 20) == plain
+
+
+def test_all_texts_of_a_document_count_in_the_curve(spark):
+    docs, labels, good = labelled(spark, 20)
+    more = [(good[3].doc_id, f"{i} " + good[(i * 7) % 20].text[:400]) for i in range(150)]
+    got = model.fit(docs.unionByName(spark.createDataFrame(more, "doc_id bigint, text string")), labels, 20)
+    plain = model.fit(docs, labels, 20)
+    assert got[:2] == plain[:2]
+    texts, quality = {}, {r.doc_id: r.quality for r in labels.collect()}
+    for i, t in [tuple(r) for r in docs.collect()] + more:
+        texts.setdefault(i, []).append((t or "").encode()[: model.SAMPLE_BYTES // 40])
+    order = [r.doc_id for r in labels.filter(model.bucket(labels.doc_id) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    scorer, points = model.Scorer(plain), []
+    curve = {i for q in (0, 1) for i in [i for i in order if quality[i] == q and any(texts.get(i, []))][:20][1::2]}
+    for i in (i for i in order if i in curve):
+        size, a, b = (sum(x) for x in zip(*(scorer.sizes(t) for t in texts[i])))
+        points.append(((b - a) / size, (b - a) / (a + b), (a + b) / size))
+    assert got.weights == pytest.approx(model._curve(points, [quality[i] for i in order if i in curve]), rel=1e-9)

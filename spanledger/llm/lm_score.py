@@ -8,8 +8,9 @@ of the word among all words. A document's score is the sum of the logarithms.
 The tables are relations of blocks: documents are dealt over batches by hash; each batch sends its distinct n-gram
 hashes with their counts, sorted, one row per hash range (bucket); a bucket adds up what all batches sent, which is its part of
 the count table, and answers each batch with the corpus counts of what it asked for; the batch joins them to the
-n-grams of its documents and sums per document. A frequent n-gram is one entry per batch, so no key is hot. N-grams are
-compared by 64-bit hashes.
+n-grams of its documents and sums per document. A frequent n-gram is one entry per batch, so no key is hot. Repeats of one row
+(same doc_id and text), which all go to one batch, are one document with a number of copies before they are shuffled and
+again inside the batch; the result has a row for each. N-grams are compared by 64-bit hashes.
 
 Null and empty texts, and texts without words, have no score (n_words 0, log_score 0, mean_log null). Repeated documents are
 counted and scored each. An empty table gives an empty result. Further columns are not read.
@@ -32,6 +33,7 @@ MIN_COUNT = 2
 BACKOFF = 0.4
 BATCH_BYTES = 6 << 20
 BUCKET_BYTES = 8 << 20
+REPEAT_ROWS = 10_000
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -80,9 +82,9 @@ class Grams:
         self.words = np.concatenate(self.words) if self.words else np.zeros(0, np.int64)
         self.hash = [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in parts]
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct hashes of all n-grams, their counts, and for each n-gram of all orders its place among them (the
-        n-grams that are none have place -1)."""
+    def distinct(self, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct hashes of all n-grams, their counts with so many copies of each text, and for each n-gram of all
+        orders its place among them (the n-grams that are none have place -1)."""
         every = np.concatenate(self.hash)
         order = np.argsort(every)
         ordered = every[order]
@@ -92,7 +94,11 @@ class Grams:
         place = np.empty(len(every), np.int64)
         place[order] = np.cumsum(new) - 1 - none
         first = np.flatnonzero(new)
-        counts = np.diff(np.append(first, len(ordered)))
+        if (copies > 1).any():
+            times = np.tile(np.repeat(copies, self.words), len(self.hash))[order]
+            counts = np.add.reduceat(times, first) if len(first) else times
+        else:
+            counts = np.diff(np.append(first, len(ordered)))
         return ordered[first][none:], counts[none:], place
 
 
@@ -117,7 +123,8 @@ def score(
     dealt = in_batches(dealt, _deal, "batch bigint, part binary", most=64 << 20)  # the larger, the better packed
 
     def ask(group: pa.Table) -> pa.Table:
-        hashes, counts, _ = Grams(text_column(_documents(group), "text"), order).distinct()
+        _, texts, copies = _documents(group)
+        hashes, counts, _ = Grams(texts, order).distinct(copies)
         cuts = _cuts(hashes, buckets).tolist()
         used = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
         return pa.table({
@@ -144,9 +151,9 @@ def score(
         })
 
     def judge(group: pa.Table, answers: pa.Table) -> pa.Table:
-        docs = _documents(group)
-        grams = Grams(text_column(docs, "text"), order)
-        _, _, place = grams.distinct()
+        ids, texts, copies = _documents(group)
+        grams = Grams(texts, order)
+        _, _, place = grams.distinct(copies)
         parts = sorted(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist()))
         known = np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(x) for _, x in parts), [0]])  # place -1 is 0
         n_words = len(grams.hash[0])
@@ -164,7 +171,7 @@ def score(
         per = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[np.concatenate(([0], ends))])
         sums = [float(logs[a:b].sum()) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
         return pa.table({
-            "doc_id": docs.column(0), "n_words": pa.array(grams.words, pa.int64()),
+            "doc_id": ids, "copies": pa.array(copies, pa.int64()), "n_words": pa.array(grams.words, pa.int64()),
             "n_backed": pa.array(per(level < reach), pa.int64()), "n_alone": pa.array(per(level == 1), pa.int64()),
             "log_score": pa.array(sums, pa.float64()),
         })
@@ -172,34 +179,72 @@ def score(
     asked = dealt.groupBy("batch").applyInArrow(ask, "bucket bigint, batch bigint, hashes binary, counts binary")
     answered = asked.groupBy("bucket").applyInArrow(add, "batch bigint, bucket bigint, counts binary")
     judged = dealt.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
-        judge, f"doc_id {kind}, n_words bigint, n_backed bigint, n_alone bigint, log_score double"
+        judge, f"doc_id {kind}, copies bigint, n_words bigint, n_backed bigint, n_alone bigint, log_score double"
     )
     judged = written(judged, "lm-scores")
-    words = judged.agg(F.sum("n_words")).first()[0] or 1
+    words = judged.agg(F.sum(F.col("n_words") * F.col("copies"))).first()[0] or 1
     log_score = F.col("log_score") - F.col("n_alone") * float(np.log(words))
-    scored = judged.select("doc_id", "n_words", "n_backed", log_score.alias("log_score"))
+    scored = judged.select("doc_id", "n_words", "n_backed", log_score.alias("log_score"), "copies")
+    scored = _repeated(scored, "copies")
     return scored.withColumn("mean_log", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
 
 
+def _repeated(df: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as its column copies says, in runs so that no array is long."""
+    run = F.lit(REPEAT_ROWS)
+    df = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / run))).alias("_run"))
+    left = F.least(run, F.col(copies) - F.col("_run") * run).cast("int")
+    return df.select("*", F.explode(F.array_repeat(F.lit(0), left)).alias("_copy")).drop(copies, "_run", "_copy")
+
+
+def _distinct(ids: pa.ChunkedArray | pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first places of the distinct rows, and for each row the place of its own among these."""
+    seen: dict[tuple, int] = {}
+    own = np.empty(len(texts), np.int64)
+    first = []
+    for k, (i, t) in enumerate(zip(ids, texts)):
+        own[k] = at = seen.setdefault((repr(i.as_py()), t.as_py()), len(first))
+        if at == len(first):
+            first.append(k)
+    return np.array(first, np.int64), own
+
+
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of one batch together in one packed row, which is smaller than row by row."""
+    """Documents of one batch together in one packed row, which is smaller than row by row; repeats once, with their number."""
     for rows in batches:
         batch = rows.column(2).to_numpy()
         order = np.argsort(batch, kind="stable")
         cuts = np.flatnonzero(np.diff(batch[order], prepend=-1, append=-1)).tolist()
-        docs, parts = rows.select(["doc_id", "text"]).take(pa.array(order)), []
+        parts = []
         for a, b in zip(cuts, cuts[1:]):
+            docs = rows.select(["doc_id", "text"]).take(pa.array(order[a:b]))
+            first, own = _distinct(docs.column(0), text_column(docs, "text"))
+            docs = docs.take(pa.array(first)).append_column("copies", pa.array(np.bincount(own), pa.int64()))
             sink = pa.BufferOutputStream()
             options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
             with pa.ipc.new_stream(sink, docs.schema, options=options) as stream:
-                stream.write_batch(docs.slice(a, b - a))
+                stream.write_batch(docs)
             parts.append(sink.getvalue().to_pybytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(batch[order][cuts[:-1]], pa.int64()), pa.array(parts, pa.binary())], names=["batch", "part"]
         )
 
 
-def _documents(group: pa.Table) -> pa.RecordBatch:
-    """All documents of a group of packed rows."""
-    parts = [pa.ipc.open_stream(x).read_all() for x in group.column("part").to_pylist()]
-    return pa.concat_tables(parts).combine_chunks().to_batches()[0]
+def _documents(group: pa.Table) -> tuple[pa.ChunkedArray, pa.Array, np.ndarray]:
+    """doc_id, text and copies of all distinct documents of a group of packed rows. Texts may be over 2 GB together."""
+    known: dict[tuple, int] = {}
+    copies, ids, texts = [], [], []
+    for raw in group.column("part"):  # one by one, so that repeats in many parts are in memory once
+        for docs in pa.ipc.open_stream(raw.as_buffer()):
+            column, new = text_column(docs, "text"), []
+            for k, (i, t, n) in enumerate(zip(docs.column(0), column, docs.column(2).to_pylist())):
+                at = known.setdefault((repr(i.as_py()), t.as_py()), len(copies))
+                if at == len(copies):
+                    copies.append(n)
+                    new.append(k)
+                else:
+                    copies[at] += n
+            new = pa.array(new, pa.int64())
+            ids.append(docs.column(0).take(new))
+            texts.append(column.take(new))
+    return pa.chunked_array(ids), pa.concat_arrays(texts), np.array(copies, np.int64)

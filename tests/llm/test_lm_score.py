@@ -1,8 +1,10 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from llm.conftest import words_of
+from pyspark.sql import functions as F
 
 from spanledger.llm import lm_score as op
 
@@ -39,3 +41,27 @@ def test_scores_equal_brute_force(docs, documents, sizes):
 
 def test_empty_table(no_docs):
     assert op.score(no_docs).count() == 0
+
+
+def test_repeats_of_a_row_are_one_document_in_their_batch(spark):
+    rows = [(5, "a b c a b")] * 3000 + [(None, "a b c a b")] * 2 + [(6, "a b c a b"), (5, "b c"), (7, None), (7, "")]
+    kinds = [("doc_id", pa.int64()), ("text", pa.string()), ("batch", pa.int64())]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t, "batch": 0} for i, t in rows], pa.schema(kinds))
+    packed = pa.Table.from_batches(list(op._deal(iter([batch, batch]))))
+    ids, texts, copies = op._documents(packed)
+    assert list(zip(ids.to_pylist(), texts.to_pylist(), copies.tolist())) == [
+        (5, b"a b c a b", 6000), (None, b"a b c a b", 4), (6, b"a b c a b", 2), (5, b"b c", 2), (7, b"", 4)
+    ]
+
+
+def test_scores_of_many_repeats_equal_brute_force(spark):
+    few, often = [(6, "x b c a b"), (5, "b c"), (None, ""), (None, "")], 2 * op.REPEAT_ROWS + 7
+    hot = spark.range(often).selectExpr("5L AS doc_id", "'a b c a b' AS text")
+    got = op.score(hot.unionByName(spark.createDataFrame(few, "doc_id bigint, text string")), batch_bytes=50_000, bucket_bytes=200)
+    want = {}
+    for i, n, backed, score in expected([(5, "a b c a b")] * often + few):
+        want.setdefault((i, n, backed), []).append(score)
+    rows = got.groupBy("doc_id", "n_words", "n_backed").agg(F.count("*").alias("n"), F.min("log_score").alias("a"), F.max("log_score").alias("b"))
+    found = {(r.doc_id, r.n_words, r.n_backed): (r.n, r.a, r.b) for r in rows.collect()}
+    assert {k: len(v) for k, v in want.items()} == {k: v[0] for k, v in found.items()}
+    assert all(found[k][1:] == pytest.approx((min(v), max(v)), rel=1e-9, abs=1e-9) for k, v in want.items())

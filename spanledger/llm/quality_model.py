@@ -6,8 +6,10 @@ size; with the compressed share itself (what neither dictionary explains) these
 fitted on labelled documents that are in neither dictionary, turns them into a probability.
 
 Labelled documents come from a bounded sample: at most sample documents of each class (those with the smallest hash of
-doc_id) with at most sample_bytes of text together, of which half make the dictionary and half the curve. Dictionaries leave
-out a text's first OPENING bytes, which are often a line that many documents share. Scoring reads every text whole, in the task that read it.
+doc_id), of which half make the dictionary and half the curve. The texts that reach the driver, for the dictionaries, are pieces of
+at most sample_bytes together, cut from a place in the whole text that its hash says. Dictionaries leave
+out a piece's first OPENING bytes, which are often a line that many documents share. The curve and scoring read every text
+whole, in the task that read it.
 
 Null and empty texts have features of 0. Labels of unknown documents are ignored, as are null labels; a repeated label is
 one. A document with labels of both classes is in both. However many rows it has, a document has one place in its class: in
@@ -93,9 +95,16 @@ def _prepared(raw: bytes) -> zstandard.ZstdCompressionDict:
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
-    """An equal share of each text, up to DICT_BYTES."""
+    """An equal share of each text, from anywhere behind its opening, up to DICT_BYTES."""
     share = max(256, DICT_BYTES // max(1, len(texts)))
-    return b"\n".join(t[OPENING : OPENING + share] if len(t) > OPENING + 256 else t[:256] for t in texts)[-DICT_BYTES:]
+
+    def part(t: bytes) -> bytes:
+        if len(t) <= OPENING + 256:
+            return t[:256]
+        at = OPENING + zlib.crc32(t) % max(1, len(t) - OPENING - share + 1)
+        return t[at : at + share]
+
+    return b"\n".join(map(part, texts))[-DICT_BYTES:]
 
 
 def _curve(points: list[tuple[float, ...]], marks: list[int]) -> tuple[float, ...]:
@@ -124,9 +133,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
     chosen = known.filter("quality = 1").orderBy(*order).limit(sample).unionByName(
         known.filter("quality = 0").orderBy(*order).limit(sample)
     )  # bounded: 2 * sample ids
-    text = F.substring(F.encode(F.col("text"), "UTF-8"), 1, sample_bytes // (2 * sample)).alias("text")
-    texts = docs.select("doc_id", text).filter(F.length("text") > 0)
-    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    texts = docs.select("doc_id", F.encode(F.col("text"), "UTF-8").alias("text")).filter(F.length("text") > 0)
+    size = sample_bytes // (2 * sample)
+    at = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - size + 1, F.lit(1))).cast("int") + 1
+    piece = F.substring(F.col("text"), at, F.lit(size)).alias("text")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), piece))["text"].alias("text")
     rows = (
         texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(one).orderBy(*order).collect()
     )  # bounded: a row per chosen id and class

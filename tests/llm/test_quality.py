@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -98,7 +99,7 @@ def test_all_texts_of_a_document_count_in_the_curve(spark):
     assert got[:2] == plain[:2]
     texts, quality = {}, {r.doc_id: r.quality for r in labels.collect()}
     for i, t in [tuple(r) for r in docs.collect()] + more:
-        texts.setdefault(i, []).append((t or "").encode()[: model.SAMPLE_BYTES // 40])
+        texts.setdefault(i, []).append((t or "").encode())
     order = [r.doc_id for r in labels.filter(model.bucket(labels.doc_id) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
     scorer, points = model.Scorer(plain), []
     curve = {i for q in (0, 1) for i in [i for i in order if quality[i] == q and any(texts.get(i, []))][:20][1::2]}
@@ -106,3 +107,14 @@ def test_all_texts_of_a_document_count_in_the_curve(spark):
         size, a, b = (sum(x) for x in zip(*(scorer.sizes(t) for t in texts[i])))
         points.append(((b - a) / size, (b - a) / (a + b), (a + b) / size))
     assert got.weights == pytest.approx(model._curve(points, [quality[i] for i in order if i in curve]), rel=1e-9)
+
+
+def test_junk_below_a_clean_beginning_is_learnt(spark):
+    rng = random.Random(2)
+    clean = [f"{rng.choice('bdfglmnprst')}{rng.choice('aeiou')}{rng.choice('bdfglmnprst')}{rng.choice('aeiou')}" for _ in range(400)]
+    junk = ["BUY", "NOW!!", "$$$", "click", "here>>", "WIN", "www.", "free%%"]
+    text = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, i % 2, text(clean, 900) + " " + text(clean if i % 2 else junk, 900)) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, quality int, text string")
+    scored = model.score(frame.select("doc_id", "text"), frame.select("doc_id", "quality")).filter("held_out").collect()
+    assert len(scored) > 20 and all(r.predicted == r.doc_id % 2 for r in scored)

@@ -12,7 +12,7 @@ from spanledger.llm import decontaminate as leaks
 from spanledger.llm import jaccard, pieces, quality_model, suffix_dedup
 from spanledger.llm.common import table, written
 
-# Bytes of a passage that counts as repeated, and of its anchors: passages of over 50 words, also of short ones.
+# Bytes of a passage that counts as repeated, and of its anchors. Mostly 50 words; the limit is bytes, so more words that are short stay.
 PASSAGE, ANCHOR = 240, 64
 
 

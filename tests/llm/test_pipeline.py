@@ -1,5 +1,7 @@
+import random
+
 import pytest
-from llm.conftest import SMALL
+from llm.conftest import SMALL, shown
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -28,3 +30,15 @@ def test_stages_one_after_another(spark):
             assert ids <= {r.doc_id for r in docs.select("doc_id").collect()} and len(ids) > 0.5 * docs.count()
         docs = after
     assert all(r.round_trip for r in docs.collect())
+
+
+def test_a_passage_is_repeated_from_its_bytes_on_not_from_its_words(spark):
+    rng = random.Random(1)
+    noise = lambda: "".join(rng.choice("abcdefghij ") for _ in range(300))
+    short = " ".join(rng.choice("xyz") + rng.choice("xyzuvw") for _ in range(79))  # 79 words, 236 bytes
+    texts = [noise() + "A" + short + "1" + noise(), noise() + "B" + short + "2" + noise()]
+    texts += [noise() + "C" + short + "long" + "3" + noise(), noise() + "D" + short + "long" + "4" + noise()]
+    want = [texts[0], texts[1], *(t.replace(short + "long", "") for t in texts[2:])]
+    for some, left in ((texts[:2], want[:2]), (texts[2:], want[2:])):
+        docs = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string")
+        assert shown(corpus_pipeline.repeated_passages(spark, docs, "")) == list(enumerate(left))

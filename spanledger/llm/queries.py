@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spanledger.llm import (
-    chat, decontaminate, jaccard, lm_score, pieces, quality_model, quality_rules, suffix_dedup, url_filter, warc,
+    centroids, chat, decontaminate, jaccard, line_dedup, lm_score, merkle, pieces, quality_model, quality_rules, suffix_dedup, url_filter, warc,
 )
 from spanledger.llm.common import table
 
@@ -69,6 +69,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_chat_format": op9_chat_format,
     "op10_lm_score": op10_lm_score,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_line_dedup": line_dedup.op13_line_dedup,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -149,4 +152,7 @@ ORACLES = {
     "op3_warc": _WARC,
     "op5_url_filter": _URL_FILTER,
     "op9_chat_format": _CHAT,
+    "op11_merkle": merkle.ORACLE,
+    "op12_centroids": centroids.ORACLE,
+    "op13_line_dedup": line_dedup.ORACLE,
 }

@@ -80,6 +80,11 @@ def history_summary(state: DataFrame) -> DataFrame:
         ).alias("highest_completed_block"),
         F.coalesce(F.sum("rows_indexed"), F.lit(0)).alias("total_rows_indexed"),
     )
+    return summarised(counted)
+
+
+def summarised(counted: DataFrame) -> DataFrame:
+    """Counts of events per dataset with their percentage and status word."""
     known = (
         F.col("completed_ranges")
         + F.col("processing_ranges")

@@ -31,6 +31,7 @@ from spanledger.plans.ranges import plan_ranges
 from spanledger.plans.repair import repair_plan
 from spanledger.schemas import GATE_MESSAGE, PROCESSING, SKIPPED, STATE_KEY, STATE_TABLE, TABLES
 from spanledger.sources.extracts import project_dataset, read_dataset, slice_range
+from spanledger.sources.snapshots import StateView
 from spanledger.sources.tables import TableStore
 
 
@@ -49,19 +50,20 @@ class RawZone:
         self.folder = folder
         self.frames = frames or {}
 
-    def read(self, store: TableStore, dataset: str) -> DataFrame:
+    def read(self, store: TableStore, dataset: str, ranges: DataFrame | None = None) -> DataFrame:
+        """The dataset's rows; with `ranges` only files whose named range overlaps one of them."""
         if dataset in self.frames:
             raw = self.frames[dataset]
         else:
-            raw = read_dataset(store.spark, self.folder, dataset)
+            raw = read_dataset(store.spark, self.folder, dataset, ranges=ranges)
         return project_dataset(raw, dataset)
 
     def rows(self, store: TableStore, dataset: str, ranges: DataFrame, bounds: Bounds) -> DataFrame:
         """Cleaned rows of the dataset that lie in any of the ranges.
 
-        The outer bounds go to the scan as a plain filter; the exact ranges by a semi join.
+        Files are picked by name; the outer bounds go to the scan as a plain filter, the exact ranges by a semi join.
         """
-        near = within(self.read(store, dataset), bounds)
+        near = within(self.read(store, dataset, ranges), bounds)
         return clean(rows_in_ranges(near, ranges), dataset)
 
 
@@ -78,6 +80,7 @@ def load_plan(
     version: int | None = None,
     replace: bool = False,
     claim: bool = True,
+    view: StateView | None = None,
 ) -> None:
     """Load every range of the plan (dataset, start_block, end_block) and record the outcome.
 
@@ -88,17 +91,24 @@ def load_plan(
     failed and their children skipped with a failed row. A plan without blocks has no such gate.
     An error of a job itself fails what the job would have loaded, and the other datasets go
     on. All rows carry `version`, so running the same call again changes nothing that a reader
-    of latest versions sees. With `replace`, old rows go only after the new ones are staged.
+    of latest versions sees. With `replace`, old rows go only after the new ones are staged. With a
+    `view`, the state of the plan's ranges comes from its snapshot and the events after it.
     """
     as_of = as_of or now_utc()
     version = time.time_ns() if version is None else version
     todo = plan.select(*STATE_KEY).withColumn("start_block", first_block("dataset", "start_block"))
-    known = store.state() if claim else store.state().limit(0)
-    store.append_state(claim_ranges(known, todo, worker, as_of, version))
+    span = todo.agg(F.min("start_block").alias("lo"), F.max("start_block").alias("hi")).first() if view else None
+
+    def state() -> DataFrame:
+        if view is None:
+            return store.state()
+        return view.history(span["lo"] or 0, (span["hi"] or 0) + 1)
+
+    store.append_state(claim_ranges(state() if claim else store.state().limit(0), todo, worker, as_of, version))
     # From here on the plan is what was written, not what might be computed again. A replay
     # skips the ranges whose outcome is already recorded.
     todo = (
-        store.state()
+        state()
         .filter(F.col("insert_version").isin(version, version + 1))
         .groupBy(*STATE_KEY)
         .agg(F.bool_and((F.col("status") == PROCESSING) & (F.col("worker_id") == worker)).alias("open"))
@@ -124,20 +134,21 @@ def load_plan(
         """Loads the dataset's ranges; state rows of those that did not fail on their own rows,
         with rows_indexed, are returned as ranges, failed ones are recorded."""
         staged = kept(_staged(store, raw, name, ranges, names[name]), f"rows-{name}")
-        bad = staged.filter(F.col("error").isNotNull())
-        such = bad.agg(F.min("error")).first()[0]
-        counts = rows_per_range(bad, ranges).filter("rows_indexed > 0").withColumnRenamed("rows_indexed", "n")
-        broken = ranges.join(counts, ["start_block", "end_block"]).select(
-            *STATE_KEY, F.concat(F.col("n"), F.lit(f" rows rejected, such as: {such}")).alias("error_message")
-        )
-        broken = kept(broken, f"broken-{name}")
-        good = ranges.select(*STATE_KEY).join(broken, list(STATE_KEY), "left_anti")
-        fit = staged.filter(F.col("error").isNull()).drop("error")
-        fit = fit if such is None else rows_in_ranges(fit, good)
+        such = staged.agg(F.min("error")).first()[0]
+        good, fit = ranges.select(*STATE_KEY), staged.drop("error")
+        if such is not None:
+            counts = rows_per_range(staged.filter(F.col("error").isNotNull()), ranges).filter("rows_indexed > 0")
+            broken = ranges.join(counts.withColumnRenamed("rows_indexed", "n"), ["start_block", "end_block"]).select(
+                *STATE_KEY, F.concat(F.col("n"), F.lit(f" rows rejected, such as: {such}")).alias("error_message")
+            )
+            broken = kept(broken, f"broken-{name}")
+            good = good.join(broken, list(STATE_KEY), "left_anti")
+            fit = rows_in_ranges(staged.filter(F.col("error").isNull()).drop("error"), good)
         parts = {name: fit}
         if name == "blocks":
             blocks, withdrawals = split_blocks(fit)
-            parts = {"blocks": blocks, "withdrawals": split_valid(withdrawals)[0]}
+            # Their JSON is parsed once, for the rows and for the count.
+            parts = {"blocks": blocks, "withdrawals": kept(split_valid(withdrawals)[0], "withdrawals")}
         for table, rows in parts.items():
             if replace:
                 store.replace_ranges(table, good, rows, version, staged=True)
@@ -145,7 +156,7 @@ def load_plan(
                 store.append(rows, table, version)
         loaded = reduce(DataFrame.unionByName, [rows.select("block_number") for rows in parts.values()])
         if such is not None:
-            store.append_state(fail_ranges(store.state(), broken, as_of, version + 1))
+            store.append_state(fail_ranges(state(), broken, as_of, version + 1))
         return good.join(rows_per_range(loaded, ranges), ["start_block", "end_block"])
 
     def attempt(name: str, ranges: DataFrame) -> DataFrame | None:
@@ -153,7 +164,7 @@ def load_plan(
             return load(name, ranges)
         except Exception as error:  # of the job itself; recorded per range, the other datasets go on
             failed = ranges.select(*STATE_KEY, F.lit(str(error)).alias("error_message"))
-            store.append_state(fail_ranges(store.state(), failed, as_of, version + 1))
+            store.append_state(fail_ranges(state(), failed, as_of, version + 1))
             return None
 
     if "blocks" in names:
@@ -174,12 +185,12 @@ def load_plan(
             gated = loaded.join(checked.filter(is_block_range), list(STATE_KEY))
             unfit = gated.filter(~F.col("ok")).select(*STATE_KEY, F.col("message").alias("error_message"))
             store.append_state(
-                fail_ranges(store.state(), skipped.unionByName(unfit), as_of, version + 1).unionByName(
+                fail_ranges(state(), skipped.unionByName(unfit), as_of, version + 1).unionByName(
                     complete_ranges(gated.filter("ok"), as_of, version + 1)
                 )
             )
         else:
-            store.append_state(fail_ranges(store.state(), skipped, as_of, version + 1))
+            store.append_state(fail_ranges(state(), skipped, as_of, version + 1))
         todo = checked.filter("ok").select(*STATE_KEY)
 
     for name in (n for n in TABLES if n in names and n != "blocks"):

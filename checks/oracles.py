@@ -441,6 +441,30 @@ FROM (SELECT max(event_id) AS h FROM events)""",
   coalesce(rows_indexed, -1) AS rows_indexed, error_message FROM loaded""",
     "stream_bad_ranges": _with(*BAD_STREAM) + """SELECT dataset, start_block, end_block, status, attempt_count,
   coalesce(rows_indexed, -1) AS rows_indexed FROM loaded""",
+    "range_files": _with(BLOCKS) + """, ranges AS (
+  SELECT s AS start_block, s + 300 AS end_block FROM (SELECT unnest(range(900, (SELECT max(block_number) + 1 FROM blocks), 5000)) AS s)),
+named AS (
+  SELECT block_number, CASE WHEN gas_used % 50 = 0 THEN 'net__blocks__rest.parquet' ELSE
+    printf('net__blocks__%08d_to_%08d.parquet', block_number // 1000 * 1000, block_number // 1000 * 1000 + 999) END AS file_name,
+    CASE WHEN gas_used % 50 <> 0 THEN block_number // 1000 * 1000 END AS f FROM blocks),
+opened AS (SELECT * FROM named n WHERE f IS NULL OR EXISTS (SELECT 1 FROM ranges r WHERE r.start_block < n.f + 1000 AND r.end_block > n.f))
+SELECT file_name, count(*) AS n_read,
+  count(*) FILTER (EXISTS (SELECT 1 FROM ranges r WHERE block_number >= r.start_block AND block_number < r.end_block)) AS n_rows
+FROM opened GROUP BY file_name""",
+    "snapshot_state": _with(STATE, LATEST) + "SELECT * REPLACE (coalesce(rows_indexed, -1) AS rows_indexed) FROM latest",
+    "snapshot_progress": _with(STATE, LATEST, PROGRESS) + "SELECT * FROM progress",
+    "snapshot_gaps": _with(STATE, GAPS) + "SELECT * FROM gaps",
+    "snapshot_history": _with(STATE, HISTORY) + "SELECT * FROM history",
+    "stream_stuck": _with(STATE) + """, ev AS (
+  SELECT *, created_at + INTERVAL 36 HOUR AS failed_at, lead(created_at) OVER k AS next_at,
+    coalesce(count(*) FILTER (status = 'completed') OVER (k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg
+  FROM range_state WINDOW k AS (PARTITION BY dataset, start_block, end_block ORDER BY created_at, insert_version)),
+st AS (SELECT *, status = 'processing' AND failed_at < coalesce(next_at, (SELECT max(created_at) FROM range_state)) AS stuck FROM ev),
+before AS (SELECT *, coalesce(count(*) FILTER (stuck) OVER (k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS e
+  FROM st WINDOW k AS (PARTITION BY dataset, start_block, end_block, seg ORDER BY created_at, insert_version)),
+tried AS (SELECT *, greatest(0, max(attempt_count - e) OVER (
+  PARTITION BY dataset, start_block, end_block, seg ORDER BY created_at, insert_version ROWS UNBOUNDED PRECEDING)) + e AS attempts FROM before)
+SELECT dataset, start_block, end_block, CAST(attempts + 1 AS INTEGER) AS attempt_count, created_at AS claimed_at, failed_at FROM tried WHERE stuck""",
     "confirmed_windows": """SELECT day, n_events FROM (
   SELECT date_trunc('day', CAST(ts AS TIMESTAMP))::TIMESTAMP AS day, count(*) AS n_events FROM events GROUP BY 1)
 WHERE day + INTERVAL 1 DAY <= (SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 12 HOUR FROM events)""",

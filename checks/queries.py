@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from spanledger.functions.cleaning import clean, conform
 from spanledger.functions.columns import align_start, block_timestamp, first_block, usable_timestamp
-from spanledger.operators import coverage, enrich, metrics, quality, reorg, state as st
+from spanledger.operators import coverage, enrich, fold, metrics, quality, reorg, state as st
 from spanledger.operators.latest import latest_state, latest_wins, range_status
 from spanledger.operators.ranges import rows_in_ranges
 from spanledger.plans import operations as ops
@@ -20,9 +21,11 @@ from spanledger.plans.repair import repair_plan
 from spanledger.schemas import STATE_KEY, STATE_TABLE
 from spanledger.session import configure, work_folder
 from spanledger.sources import extracts
+from spanledger.sources.snapshots import StateView
 from spanledger.sources.tables import TableStore, partition_value, unexpired
 from spanledger.streaming.dedup import confirmed_by_time, stream_dedup, unexpired_stream
 from spanledger.streaming.ingest import block_stream, stream_ingest
+from spanledger.streaming.retry import stuck_claims
 
 VERSION = 1_000_000_000_000
 TX_COLUMNS = [*V.TX_KEY, "gas_limit", "gas_used", "value_f64", "input"]
@@ -523,12 +526,19 @@ def compact_table(spark, d):
 
 
 def table_ddl(spark, d):
-    """A stored table, declared by its own DDL and read through the catalog."""
+    """A stored table, declared by its own DDL in a database of its own and read through the catalog."""
     store, _ = _event_store(spark, d, "ddl")
-    spark.sql("DROP TABLE IF EXISTS blocks")
-    spark.sql(store.ddl("blocks"))
-    spark.sql("MSCK REPAIR TABLE blocks")
-    return spark.table("blocks").select("block_number", "block_hash", "block_timestamp", "part_day", "insert_version")
+    name = f"declared_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{store.path('_' + name)}'")
+    try:
+        spark.sql(store.ddl("blocks", f"{name}.blocks"))
+        spark.sql(f"MSCK REPAIR TABLE {name}.blocks")
+        found = spark.table(f"{name}.blocks")
+        return store.put_work(
+            found.select("block_number", "block_hash", "block_timestamp", "part_day", "insert_version"), "declared"
+        )
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def delete_counts(spark, d):
@@ -616,6 +626,39 @@ def historical_files(spark, d):
     )
 
 
+def _ranged_files(spark, name, dataset, frame, width) -> str:
+    """A folder with one file per `width` blocks, named by its first and last block."""
+    jvm, folder = spark._jvm, work_folder(spark, name)
+    start = (F.col("block_number") - F.col("block_number") % width).alias("__start")
+    frame.withColumn("__start", start).repartition("__start").write.partitionBy("__start").parquet(f"{folder}-parts")
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for found in fs.globStatus(path(f"{folder}-parts", "__start=*/part-*.parquet")):
+        first = int(found.getPath().getParent().getName().partition("=")[2])
+        fs.rename(found.getPath(), path(folder, f"net__{dataset}__{first:08d}_to_{first + width - 1:08d}.parquet"))
+    fs.delete(path(f"{folder}-parts"), True)
+    return folder
+
+
+def range_files(spark, d):
+    """Rows per opened file for ranges of 300 blocks in every 5000; one file has no range in its name."""
+    blocks = V.spark_view(spark, d, V.BLOCKS)
+    folder = _ranged_files(spark, "ranged", "blocks", blocks.filter("gas_used % 50 > 0"), 1000)
+    rest = _extracted(spark, "unranged", [("blocks", blocks.filter("gas_used % 50 = 0").coalesce(1))])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(f"{rest}/net__blocks__0-0.parquet"), path(f"{folder}/net__blocks__rest.parquet"))
+    ranges = spark.range(900, _head(blocks) + 1, 5000).select(
+        F.col("id").alias("start_block"), (F.col("id") + 300).alias("end_block")
+    )
+    opened = extracts.read_dataset(spark, folder, "blocks", ranges=ranges)
+    found = opened.select("block_number", F.col("_metadata.file_name").alias("file_name"))
+    inside = rows_in_ranges(found, ranges).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_read")).join(inside, "file_name", "left").select(
+        "file_name", "n_read", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+    )
+
+
 def _raw_with_bad_rows(spark, d) -> ops.RawZone:
     blocks, txs = V.spark_view(spark, d, V.BLOCKS), _newest_txs(spark, d)
     gas = F.when(F.col("block_number") % 977 == 3, "many").otherwise(F.col("gas_used").cast("string"))
@@ -667,7 +710,7 @@ def stream_bad_ranges(spark, d):
     blocks = V.spark_view(spark, d, V.BLOCKS).select("block_number")
     head = _head(blocks)
     parts = [
-        ("blocks", blocks.filter((F.col("block_number") > head * k // 4) & (F.col("block_number") <= head * (k + 1) // 4)).coalesce(1))
+        ("blocks", blocks.filter((F.col("block_number") >= (head + 1) * k // 4) & (F.col("block_number") < (head + 1) * (k + 1) // 4)).coalesce(1))
         for k in range(4)
     ]
     folder = _extracted(spark, "heads", parts)
@@ -679,6 +722,54 @@ def stream_bad_ranges(spark, d):
     return _no_null_count(latest_state(store.state())).select(*STATE_KEY, "status", "attempt_count", "rows_indexed")
 
 
+def _snapshotted(spark, d):
+    """A state in four appends, with a snapshot after the first and the third and one that was not finished."""
+    store, state = _store(spark, "snapshot"), _state(spark, d)
+    view = StateView(store)
+    for k in range(4):
+        store.append_state(state.filter(F.col("insert_version") % 4 == k))
+        if k in (0, 2):
+            view.take()
+    view._read("rows", view.versions()[0]).limit(1).write.parquet(view._path("rows", 2**62))
+    return view
+
+
+def snapshot_state(spark, d):
+    return _no_null_count(_snapshotted(spark, d).latest())
+
+
+def snapshot_progress(spark, d):
+    return coverage.progress(_snapshotted(spark, d).latest())
+
+
+def snapshot_gaps(spark, d):
+    return coverage.find_gaps(_snapshotted(spark, d).history(), V.DATASETS)
+
+
+def snapshot_history(spark, d):
+    return fold.history_summary_of(_snapshotted(spark, d).folded())
+
+
+def stream_stuck(spark, d):
+    """Events of the state in four micro-batches by time; claims that ran out after 36 hours."""
+    state = _state(spark, d)
+    bounds = state.agg(F.min("created_at").alias("lo"), F.max("created_at").alias("hi")).first()
+    step = (bounds["hi"] - bounds["lo"]) / 4
+    cuts = [bounds["lo"] + step * k for k in range(5)]
+    folder = work_folder(spark, "claims")
+    for k in range(4):
+        after = F.col("created_at") > cuts[k] if k else F.lit(True)
+        part = state.filter(after & (F.col("created_at") <= cuts[k + 1])) if k < 3 else state.filter(after)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    events = spark.readStream.schema(state.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = work_folder(spark, "stuck")
+    found = stuck_claims(events, 36)
+    found.writeStream.option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).format("parquet").start(
+        f"{out}/rows"
+    ).awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
 def confirmed_windows(spark, d):
     """Days of the event stream that are complete at a depth of 12 blocks of an hour."""
     events = _file_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -783,6 +874,12 @@ QUERIES = {
     "table_ddl": table_ddl,
     "delete_counts": delete_counts,
     "historical_files": historical_files,
+    "range_files": range_files,
+    "snapshot_state": snapshot_state,
+    "snapshot_progress": snapshot_progress,
+    "snapshot_gaps": snapshot_gaps,
+    "snapshot_history": snapshot_history,
+    "stream_stuck": stream_stuck,
     "historical_bad_rows": historical_bad_rows,
     "historical_state": historical_state,
     "historical_rows": historical_rows,

@@ -87,12 +87,13 @@ class TableStore:
         fs, p = self._fs(self.path(table))
         return fs.exists(p)
 
-    def ddl(self, table: str) -> str:
-        """CREATE TABLE statement over the files; MSCK REPAIR TABLE then finds the partitions."""
+    def ddl(self, table: str, name: str | None = None) -> str:
+        """CREATE TABLE statement over the files, as `name` (the table's own by default); MSCK
+        REPAIR TABLE then finds the partitions."""
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in self._schema(table).fields]
         columns.append(f"{self.column} {self.column_type.simpleString()}")
         return (
-            f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {name or table} ({', '.join(columns)}) USING parquet "
             f"PARTITIONED BY ({self.column}) LOCATION '{self.path(table)}'"
         )
 

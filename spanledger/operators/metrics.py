@@ -73,10 +73,12 @@ def duration_histogram(state: DataFrame, buckets: Sequence[float] = DURATION_BUC
     return counted.select("dataset", F.inline(F.array(*rows)))
 
 
-def rows_per_range(rows: DataFrame, ranges: DataFrame, position: str = "block_number") -> DataFrame:
+def rows_per_range(
+    rows: DataFrame, ranges: DataFrame, position: str = "block_number", n_ranges: int | None = None
+) -> DataFrame:
     """rows_indexed for every requested range, 0 where nothing was loaded."""
     ones = rows.select(position).withColumn("__one", F.lit(1))
-    return sum_over_ranges(ones, ranges, position, {"rows_indexed": F.count("__one")})
+    return sum_over_ranges(ones, ranges, position, {"rows_indexed": F.count("__one")}, n_ranges=n_ranges)
 
 
 def rows_per_batch(rows: DataFrame, batch: int, position: str = "block_number") -> DataFrame:

@@ -14,15 +14,24 @@ from spanledger.operators.running import sum_over_ranges
 from spanledger.schemas import COMPLETED, DATASETS, ROWS_EXPECTED, STATE_KEY, TABLES
 
 
-def validate_timestamps(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
+def validate_timestamps(
+    ranges: DataFrame, blocks: DataFrame, n_ranges: int | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """(start_block, end_block, ok, reason, expected, valid, present) for each distinct range.
 
     ok: every block is there with a usable timestamp; invalid: all there, some unusable;
-    not_visible: some are not there. All ranges are answered by one pass over the blocks.
+    not_visible: some are not there. All ranges are answered by one pass over the blocks. `n_ranges`
+    is a bound on the number of ranges, where the caller knows one. With `rows` the same pass counts them per
+    range, as rows_indexed.
     """
     points = blocks.select(
         "block_number", "insert_version", usable_timestamp().cast("int").alias("usable")
     )
+    extra = {}
+    if rows is not None:
+        counted = rows.select("block_number", F.lit(1).alias("__one"))
+        points = points.unionByName(counted, allowMissingColumns=True)
+        extra = {"rows_indexed": F.count("__one")}
     counted = sum_over_ranges(
         points,
         ranges,
@@ -30,7 +39,9 @@ def validate_timestamps(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
         {
             "present": F.least(F.count("usable"), F.lit(1)),
             "valid": F.max_by("usable", F.struct("insert_version", "usable")),  # the latest version decides
+            **extra,
         },
+        n_ranges=n_ranges,
     )
     expected = F.greatest(F.col("end_block") - F.col("start_block"), F.lit(0).cast("bigint"))
     empty = expected == 0
@@ -40,6 +51,7 @@ def validate_timestamps(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
         expected.alias("expected"),
         F.when(empty, 0).otherwise(F.col("valid")).alias("valid"),
         F.when(empty, 0).otherwise(F.col("present")).alias("present"),
+        *extra,
     ).withColumns(
         {
             "ok": F.col("valid") >= F.col("expected"),

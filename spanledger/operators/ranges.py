@@ -59,6 +59,7 @@ def rows_in_ranges(
     inside: bool = True,
     width: int = 1000,
     broadcast_rows: int = BROADCAST_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Rows whose position lies in any of the ranges (or in none, with inside=False).
 
@@ -66,9 +67,10 @@ def rows_in_ranges(
     pass the size check are broadcast and the rows do not move. Too many pieces are first
     merged, after which a plan of adjoining ranges is a few long ones whatever their number;
     only a set that stays too large makes both sides shuffle, and AQE then splits a hot bucket.
+    With `at_most`, a bound on the pieces of width 1000 that the caller knows, none are counted where it suffices.
     """
     pieces = range_pieces(ranges, width)
-    small = has_at_most(pieces, broadcast_rows)
+    small = (at_most is not None and at_most <= broadcast_rows) or has_at_most(pieces, broadcast_rows)
     if not small:
         span = ranges.agg(F.min("start_block").alias("lo"), F.max("end_block").alias("hi")).first()
         width = max(width, (span["hi"] - span["lo"]) // SPAN_BUCKETS)

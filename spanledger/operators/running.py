@@ -94,13 +94,14 @@ def sum_over_ranges(
     position: str,
     measures: dict[str, Column],
     width: int = BUCKET_WIDTH,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Totals over the points inside each distinct range [start, end).
 
     `measures` are aggregates over all points of one position, 0 or NULL over no points; the
     result is their sum over the positions of the range. Total = running total at end -
     running total at start, so ranges may overlap, nest or have any length, and no (point,
-    range) pair is ever formed.
+    range) pair is ever formed. `n_ranges` is a bound on the number of ranges, where the caller knows one.
     """
     wanted = ranges.select("start_block", "end_block").distinct()
     marks = wanted.select(
@@ -129,7 +130,9 @@ def sum_over_ranges(
         ).alias("__e"),
     ).select("start_block", "end_block", "__e.*")
     return (
-        join_unique(ends, before, [position], "inner", sized_by=marks)
+        join_unique(
+            ends, before, [position], "inner", sized_by=marks, at_most=None if n_ranges is None else 2 * n_ranges
+        )
         .groupBy("start_block", "end_block")
         .agg(*[F.sum(F.col("__sign") * F.col(f"__b_{m}")).alias(m) for m in measures])
     )

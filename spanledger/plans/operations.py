@@ -10,6 +10,7 @@ import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +36,19 @@ from spanledger.sources.snapshots import StateView
 from spanledger.sources.tables import TableStore
 
 
-Bounds = tuple[int, int]
+class Bounds(NamedTuple):
+    """What one aggregate tells about a dataset's ranges: their outer bounds, their number, and a bound on the
+    pieces of 1000 blocks they are cut into. Known sizes spare the operators a count each."""
+
+    start: int
+    end: int
+    n_ranges: int
+    n_pieces: int
 
 
 def within(rows: DataFrame, bounds: Bounds) -> DataFrame:
     """Rows between the outer bounds of a plan; a scan filter that skips row groups."""
-    return slice_range(rows, *bounds)
+    return slice_range(rows, bounds.start, bounds.end)
 
 
 class RawZone:
@@ -64,7 +72,7 @@ class RawZone:
         Files are picked by name; the outer bounds go to the scan as a plain filter, the exact ranges by a semi join.
         """
         near = within(self.read(store, dataset, ranges), bounds)
-        return clean(rows_in_ranges(near, ranges), dataset)
+        return clean(rows_in_ranges(near, ranges, at_most=bounds.n_pieces), dataset)
 
 
 def now_utc() -> str:
@@ -116,10 +124,14 @@ def load_plan(
         .select(*STATE_KEY)
     )
     # One row per dataset of the plan, at most the declared ones.
+    pieces = F.ceil((F.col("end_block") - F.col("start_block")) / 1000) + 1
     names = {
-        r["dataset"]: (r["lo"], r["hi"])
+        r["dataset"]: Bounds(r["lo"], r["hi"], r["n"], r["pieces"])
         for r in todo.groupBy("dataset")
-        .agg(F.min("start_block").alias("lo"), F.max("end_block").alias("hi"))
+        .agg(
+            F.min("start_block").alias("lo"), F.max("end_block").alias("hi"),
+            F.count(F.lit(1)).alias("n"), F.sum(pieces).alias("pieces"),
+        )
         .collect()
     }
     if not names:
@@ -130,14 +142,16 @@ def load_plan(
         work.append(f"{name}-{version}")
         return store.put_work(df, work[-1])
 
-    def load(name: str, ranges: DataFrame) -> DataFrame:
-        """Loads the dataset's ranges; state rows of those that did not fail on their own rows,
-        with rows_indexed, are returned as ranges, failed ones are recorded."""
+    def load(name: str, ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Loads the dataset's ranges; returned are those that did not fail on their own rows, and the block
+        numbers of all rows loaded; failed ranges are recorded."""
         staged = kept(_staged(store, raw, name, ranges, names[name]), f"rows-{name}")
         such = staged.agg(F.min("error")).first()[0]
         good, fit = ranges.select(*STATE_KEY), staged.drop("error")
         if such is not None:
-            counts = rows_per_range(staged.filter(F.col("error").isNotNull()), ranges).filter("rows_indexed > 0")
+            counts = rows_per_range(
+                staged.filter(F.col("error").isNotNull()), ranges, n_ranges=names[name].n_ranges
+            ).filter("rows_indexed > 0")
             broken = ranges.join(counts.withColumnRenamed("rows_indexed", "n"), ["start_block", "end_block"]).select(
                 *STATE_KEY, F.concat(F.col("n"), F.lit(f" rows rejected, such as: {such}")).alias("error_message")
             )
@@ -157,9 +171,9 @@ def load_plan(
         loaded = reduce(DataFrame.unionByName, [rows.select("block_number") for rows in parts.values()])
         if such is not None:
             store.append_state(fail_ranges(state(), broken, as_of, version + 1))
-        return good.join(rows_per_range(loaded, ranges), ["start_block", "end_block"])
+        return good, loaded
 
-    def attempt(name: str, ranges: DataFrame) -> DataFrame | None:
+    def attempt(name: str, ranges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
         try:
             return load(name, ranges)
         except Exception as error:  # of the job itself; recorded per range, the other datasets go on
@@ -168,21 +182,25 @@ def load_plan(
             return None
 
     if "blocks" in names:
-        bounds = (min(lo for lo, _ in names.values()), max(hi for _, hi in names.values()))
-        loaded = attempt("blocks", todo.filter(F.col("dataset") == "blocks"))
-        # Timestamp gate, for all ranges of the plan in one pass over the blocks table.
-        gate = validate_timestamps(todo, within(store.read("blocks"), bounds)).withColumn(
+        every = list(names.values())
+        n_ranges, n_pieces = sum(b.n_ranges for b in every), sum(b.n_pieces for b in every)
+        bounds = Bounds(min(b.start for b in every), max(b.end for b in every), n_ranges, n_pieces)
+        done = attempt("blocks", todo.filter(F.col("dataset") == "blocks"))
+        # Timestamp gate, for all ranges of the plan in one pass over the blocks table and the rows loaded.
+        loaded = done[1] if done else store.read("blocks").select("block_number").limit(0)
+        gate = validate_timestamps(todo, within(store.read("blocks"), bounds), n_ranges, loaded).withColumn(
             "message",
             F.format_string(GATE_MESSAGE, "reason", "valid", "expected", "present"),
         )
-        checked = kept(todo.join(gate, ["start_block", "end_block"]).select(*STATE_KEY, "ok", "message"), "gate")
+        checked = todo.join(gate, ["start_block", "end_block"]).select(*STATE_KEY, "ok", "message", "rows_indexed")
+        checked = kept(checked, "gate")
         is_block_range = F.col("dataset") == "blocks"
         outcome = checked.filter(~F.col("ok"))
         skipped = outcome.filter(~is_block_range).select(
             *STATE_KEY, F.concat(F.lit(SKIPPED), "message").alias("error_message")
         )
-        if loaded is not None:  # else its ranges are failed already
-            gated = loaded.join(checked.filter(is_block_range), list(STATE_KEY))
+        if done:  # else its ranges are failed already
+            gated = done[0].join(checked.filter(is_block_range), list(STATE_KEY))
             unfit = gated.filter(~F.col("ok")).select(*STATE_KEY, F.col("message").alias("error_message"))
             store.append_state(
                 fail_ranges(state(), skipped.unionByName(unfit), as_of, version + 1).unionByName(
@@ -194,9 +212,11 @@ def load_plan(
         todo = checked.filter("ok").select(*STATE_KEY)
 
     for name in (n for n in TABLES if n in names and n != "blocks"):
-        loaded = attempt(name, todo.filter(F.col("dataset") == name))
-        if loaded is not None:
-            store.append_state(complete_ranges(loaded, as_of, version + 1))
+        done = attempt(name, todo.filter(F.col("dataset") == name))
+        if done:
+            good, loaded = done
+            counted = rows_per_range(loaded, good, n_ranges=names[name].n_ranges)
+            store.append_state(complete_ranges(good.join(counted, ["start_block", "end_block"]), as_of, version + 1))
     for name in work:
         store.drop_work(name)
 
@@ -207,7 +227,7 @@ def _staged(store: TableStore, raw: RawZone, name: str, ranges: DataFrame, bound
     if name == "blocks":
         return rows
     parents = within(store.read("blocks"), bounds)
-    stamped = enrich_strict(rows, parents, on_missing="keep", max_blocks=bounds[1] - bounds[0])
+    stamped = enrich_strict(rows, parents, on_missing="keep", max_blocks=bounds.end - bounds.start)
     return stamped.withColumn("error", F.coalesce("error", invalid_reason()))
 
 

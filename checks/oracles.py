@@ -465,6 +465,9 @@ before AS (SELECT *, coalesce(count(*) FILTER (stuck) OVER (k ROWS BETWEEN UNBOU
 tried AS (SELECT *, greatest(0, max(attempt_count - e) OVER (
   PARTITION BY dataset, start_block, end_block, seg ORDER BY created_at, insert_version ROWS UNBOUNDED PRECEDING)) + e AS attempts FROM before)
 SELECT dataset, start_block, end_block, CAST(attempts + 1 AS INTEGER) AS attempt_count, created_at AS claimed_at, failed_at FROM tried WHERE stuck""",
+    "stream_enrich": _with(TXS, DEFECTS) + f"""SELECT t.block_number, transaction_index, gas_limit, t.gas_used, value_f64, input, l_quantity,
+  make_timestamp(b.timestamp * 1000000) AS block_timestamp, CASE WHEN b.timestamp IS NULL THEN 'null_timestamp' END AS reason
+FROM txs t LEFT JOIN (SELECT * FROM blocks WHERE {USABLE}) b ON t.block_number = b.block_number""",
     "confirmed_windows": """SELECT day, n_events FROM (
   SELECT date_trunc('day', CAST(ts AS TIMESTAMP))::TIMESTAMP AS day, count(*) AS n_events FROM events GROUP BY 1)
 WHERE day + INTERVAL 1 DAY <= (SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 12 HOUR FROM events)""",

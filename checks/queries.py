@@ -24,6 +24,7 @@ from spanledger.sources import extracts
 from spanledger.sources.snapshots import StateView
 from spanledger.sources.tables import TableStore, partition_value, unexpired
 from spanledger.streaming.dedup import confirmed_by_time, stream_dedup, unexpired_stream
+from spanledger.streaming.enrich import enrich_stream
 from spanledger.streaming.ingest import block_stream, stream_ingest
 from spanledger.streaming.retry import stuck_claims
 
@@ -770,6 +771,30 @@ def stream_stuck(spark, d):
     return spark.read.schema(found.schema).parquet(f"{out}/rows")
 
 
+def stream_enrich(spark, d):
+    """Children and blocks in four files each, in the order of the chain; a fifth file far ahead moves the watermark past the head."""
+    blocks, txs = V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS), _txs(spark, d)
+    head, depth = _head(txs), 1000
+    cuts = [(head + 1) * k // 4 for k in range(5)]
+    far = F.lit(head + 10 * depth).cast("bigint").alias("block_number")
+    streams = []
+    for name, rows in (("children", txs), ("parents", blocks)):
+        folder = work_folder(spark, name)
+        parts = [rows.filter((F.col("block_number") >= lo) & (F.col("block_number") < hi)) for lo, hi in zip(cuts, cuts[1:])]
+        ahead = rows.limit(1).withColumn("block_number", far)
+        if name == "parents":
+            ahead = ahead.withColumn("timestamp", F.lit(10**9).cast("bigint"))
+        for part in [*parts, ahead]:
+            part.coalesce(1).write.mode("append").parquet(folder)
+        streams.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    out = work_folder(spark, "enriched")
+    found = enrich_stream(*streams, depth).select(*TX_COLUMNS, "l_quantity", "block_timestamp", "reason")
+    found.writeStream.option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).format("parquet").start(
+        f"{out}/rows"
+    ).awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{out}/rows").filter(F.col("block_number") <= head)
+
+
 def confirmed_windows(spark, d):
     """Days of the event stream that are complete at a depth of 12 blocks of an hour."""
     events = _file_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -880,6 +905,7 @@ QUERIES = {
     "snapshot_gaps": snapshot_gaps,
     "snapshot_history": snapshot_history,
     "stream_stuck": stream_stuck,
+    "stream_enrich": stream_enrich,
     "historical_bad_rows": historical_bad_rows,
     "historical_state": historical_state,
     "historical_rows": historical_rows,

@@ -1,11 +1,13 @@
-"""Claims that run out, as timers of a stream over the state."""
+"""Streams with state of their own: claims that run out, children that wait for their block."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanledger.operators.latest import latest_state
+from spanledger.operators.enrich import enrich_strict, split_valid
 from spanledger.session import work_folder
 from spanledger.sources.tables import TableStore
+from spanledger.streaming.enrich import enrich_stream
 from spanledger.streaming.retry import state_stream, stuck_claims, watch_claims
 from tests.conftest import rows
 
@@ -57,3 +59,29 @@ def test_failed_rows_are_appended_to_the_state_and_free_the_range(spark, state_f
     assert rows(latest_state(store.state()), "dataset", "start_block", "status") == [
         ("a", 0, "failed"), ("a", 10, "completed"), ("z", 0, "completed"),
     ]
+
+
+def test_children_wait_for_their_block_and_are_rejected_without_one(spark, tmp_path):
+    def put(side, numbers, **columns):
+        extra = ", ".join(f"{v} AS {k}" for k, v in columns.items())
+        rows = spark.createDataFrame([(n,) for n in numbers], "block_number BIGINT").selectExpr("block_number", extra)
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / side))
+        return rows.schema
+
+    late = "CAST(if(block_number = 7, 0, 1700000000 + block_number) AS BIGINT)"
+    blocks = [put("blocks", some, timestamp=late) for some in ([0, 1, 3], [2, 4, 4, 7], [30, 31], [500])][0]
+    kids = [put("kids", some, hash="concat('t', block_number)") for some in ([0, 2, 5, None], [1, 4, 4, 7], [30, 32], [500])][0]
+    streams = [
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / side))
+        for side, schema in (("kids", kids), ("blocks", blocks))
+    ]
+    out = str(tmp_path / "out")
+    found = enrich_stream(*streams, depth=10)
+    found.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+    got = spark.read.schema(found.schema).parquet(out)
+    every = spark.read.schema(blocks).parquet(str(tmp_path / "blocks")).withColumn("insert_version", F.lit(1))
+    want = enrich_strict(spark.read.schema(kids).parquet(str(tmp_path / "kids")), every, on_missing="keep")
+    good, bad = split_valid(want)
+    assert rows(got.filter("reason IS NULL").drop("reason")) == rows(good)
+    assert rows(got.filter("reason IS NOT NULL").drop("block_timestamp"), "block_number", "reason") == rows(bad, "block_number", "reason")
+    assert sorted(r[0] or -1 for r in rows(bad, "block_number")) == [-1, 5, 7, 32]

@@ -14,7 +14,7 @@ Documents with equal sets are one class from the start (similarity 1) and go on
 5. Verified links are counted per document, with copies, and join documents into classes (connected components, by
    smallest labels and pointer jumping over written tables).
 
-Null and empty texts, and texts without words, are similar to nothing and are a class each, as is a null doc_id with such a text.
+A very long text is one row's work; its set is as long as the text. Null and empty texts, and texts without words, are similar to nothing and are a class each, as is a null doc_id with such a text.
 doc_id may repeat or be null; a class's id is its smallest doc_id. An empty table gives an empty result. Further columns
 aren't read by `classes` and pass through `keep_one`.
 """
@@ -190,9 +190,13 @@ def _pruner(threshold: float, tolerance: float):
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last = None
     for batch in batches:
         wanted = batch.column(batch.schema.get_field_index("digest")).to_pylist()
-        for row, offsets, data in text_blocks(text_column(batch, "text")):
+        first = [k for k, d in enumerate(wanted) if d != (wanted[k - 1] if k else last)]  # rows of one text come after one another
+        last = wanted[-1] if wanted else last
+        wanted = [wanted[k] for k in first]
+        for row, offsets, data in text_blocks(text_column(batch.take(pa.array(first, pa.int64())), "text")):
             hashes, counts = shingle_sets(Words(offsets, data))
             stops, digests, blobs = np.cumsum(counts).tolist(), [], []
             for i, (stop, count) in enumerate(zip(stops, counts.tolist())):
@@ -278,7 +282,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     for one (doc_id, text) of each class."""
     rows = written(sketch(docs), "sketch")
     sets = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.first("n").alias("n"), F.first("values").alias("values"), F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"),
+        F.first("n").alias("n"), F.first("values").alias("values"), F.count("*").alias("copies"),
+        F.min(F.struct("doc_id", "text_key")).alias("one"),
     )
     sets = written(sets, "sets")
     members = written(_candidates(sets), "members")
@@ -291,8 +296,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     groups = written(groups, "groups")
     each = groups.select("grp", F.explode("members").alias("m")).select("grp", "m.digest", "m.n")
     tasks = partitions_for(each.agg(F.sum(8 * F.col("n").cast("long"))).first()[0], 8 << 20)
-    needed = each.select("digest").distinct().join(sets.select("digest", "doc_id"), "digest").alias("w")
-    texts = docs.select("doc_id", "text").alias("t").join(needed, F.expr("t.doc_id <=> w.doc_id")).select("w.digest", "t.text")
+    needed = each.select("digest").distinct().join(sets.select("digest", "one.*"), "digest").alias("w")
+    texts = docs.select("doc_id", "text", text_key().alias("text_key")).alias("t").join(
+        needed, F.expr("t.text_key = w.text_key AND t.doc_id <=> w.doc_id")
+    ).select("w.digest", "t.text")
     full = in_batches(texts, _full_sets, "digest binary, shingles binary")
     task = F.pmod(F.xxhash64("grp"), F.lit(tasks)).alias("task")
     sent = each.select("digest", task).distinct().join(full, "digest").select("task", "digest", "shingles")

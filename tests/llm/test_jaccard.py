@@ -57,3 +57,26 @@ def test_pairs_are_dropped_only_below_the_tolerance():
 
 def test_empty_table(no_docs):
     assert op.join(no_docs).count() == 0 and op.keep_one(no_docs).columns == no_docs.columns
+
+
+def test_rows_without_an_id_ship_their_text_once(spark, monkeypatch):
+    random.seed(2)
+    base = [f"w{random.randrange(5000)}" for _ in range(120)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(i % 3):
+            w[random.randrange(len(w))] = f"x{i}"
+        rows += [(None if i < 60 else 7, " ".join(w))] * (1 + i % 2)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    seen, real = [], op.in_batches
+
+    def counting(df, run, schema, **how):
+        if run is op._full_sets:
+            seen.append((df.count(), df.select("digest").distinct().count()))
+        return real(df, run, schema, **how)
+
+    monkeypatch.setattr(op, "in_batches", counting)
+    assert shown(op.join(frame)) == expected(rows)[0]
+    (shipped, sets), = seen
+    assert sets <= shipped <= len(rows)

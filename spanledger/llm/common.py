@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spanledger.session import work_folder
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 256 << 10
 ARROW_BYTES = 4 << 20  # of rows that a worker gets at once; one longer row is a batch
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -23,7 +23,17 @@ def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = work_folder(spark, name)
     df.write.options(**{"compression": codec, "parquet.compression.codec.zstd.level": "6"}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that `written` has made and that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, base: str) -> str:

@@ -7,7 +7,7 @@ window hashes are looked up in the set and each find is verified word by word.
 The set is broadcast in blocks of at most block_grams windows, so its size is bounded; a larger benchmark takes
 several passes, each written to the shared folder before the next, and every window is still looked up.
 
-Null and empty texts have no words and no hits. Repeated documents are each judged alone, item ids may repeat and may be
+Very long texts are scanned whole, each by one task. Null and empty texts, and an empty table of documents, have no words and no hits. Repeated documents are each judged alone, item ids may repeat and may be
 null (such items count, under the id "null"). An empty benchmark leaves all documents clean. Further columns pass through;
 names of further columns don't matter.
 """

@@ -12,7 +12,7 @@ n-grams of its documents and sums per document. A frequent n-gram is one entry p
 (same doc_id and text), which all go to one batch, are one document with a number of copies before they are shuffled and
 again inside the batch; the result has a row for each. N-grams are compared by 64-bit hashes.
 
-Null and empty texts, and texts without words, have no score (n_words 0, log_score 0, mean_log null). Repeated documents are
+A very long text is one task's work. Null and empty texts, and texts without words, have no score (n_words 0, log_score 0, mean_log null). Repeated documents are
 counted and scored each. An empty table gives an empty result. Further columns are not read.
 """
 

@@ -8,7 +8,7 @@ expectation-maximisation of the two-class model with independent rules estimates
 rule's accuracy; a document's posterior is then an expression of its votes. Several rules look at each kind of junk from different
 sides, since a lone vote can't be told from a mistake.
 
-Null and empty texts have no words and zero in all measures; they fail the base filter. Repeated documents count
+A very long text is one row's work. Null and empty texts have no words and zero in all measures; they fail the base filter. Repeated documents count
 as often as they are there. An empty table gives an empty result. Further columns are not read.
 """
 

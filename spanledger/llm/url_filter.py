@@ -8,7 +8,8 @@ Host rules (allow or block a host, its subdomains and a path prefix) are such ru
 Where none fits, a URL without a host or with a matching pattern rule is blocked, any other allowed.
 
 URLs are judged once each: equal URLs meet in a distinct, and the verdicts are joined back, where adaptive execution splits
-a hot URL. Null URLs and those without "://" have an empty host and path. An empty rule list leaves the method's verdict.
+a hot URL. Null URLs and those without "://" have an empty host and path. A very long URL is judged whole, an empty
+table gives an empty result, and columns beside page_id and url are not read. An empty rule list leaves the method's verdict.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ across splits pointer jumping from each file's start (log2 of the splits per fil
 which entries are reachable, and the chains from these are the records. Candidates off the chains are payload.
 A record whose payload holds version lines is put together from its pieces.
 
-A null html is an empty payload, a null url an empty target, a null page_id an id of its own that is smaller than all
+A very long record is one row and one task's work. Columns beside page_id, url and html are not read. A null html is an empty payload, a null url an empty target, a null page_id an id of its own that is smaller than all
 others. Repeated pages get a record each; if they hold the largest page_id of their payload, all of them are responses. An empty
 table gives no records. A file that doesn't start with a record, or a chain that breaks, gives the records before the break.
 """

@@ -13,8 +13,8 @@ from spanledger.llm.common import table, written
 from spanledger.llm.queries import ORACLES, QUERIES
 
 
-def test_all_ten_and_the_pipeline_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+def test_all_and_the_pipeline_are_registered():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -127,3 +127,17 @@ def test_stages_and_run_equal_brute_force(spark, corpus):
     back = pieces.decode(tokens.select("doc_id", "ids"), pieces.read_model(pieces.default_model()))
     assert shown(back) == sorted(((i, t or "") for i, t in rows), key=repr)
     assert all(r.round_trip for r in tokens.collect())
+
+
+def test_stages_take_empty_tables_and_clashing_columns(spark, documents):
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    rows = [(i, t, "en", None, None) for i, t in [*documents[:25], *documents[-12:]]]
+    extra = ("key", "_text_key", "spans", "digest", "score", "_rows", "n_words", "label", "base")
+    for docs in (spark.createDataFrame([], kind), spark.createDataFrame(rows, kind)):
+        docs = docs.selectExpr("*", *(f"'x' AS {c}" for c in extra))
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, docs, SMALL)
+            if name != "tokens":
+                assert after.columns == docs.columns, name
+                assert after.filter(" OR ".join(f"{c} <> 'x'" for c in extra)).isEmpty(), name
+            assert after.isEmpty() == docs.isEmpty(), name

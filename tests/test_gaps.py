@@ -11,6 +11,7 @@ def batches(start, end, status="completed", dataset="transactions", step=100):
     return [(dataset, s, s + step, status) for s in range(start, end, step)]
 
 
+# The ranges and expected gaps of the documented cases, up to "no bound means ...".
 BEYOND = [("transactions", 5000, 5100, "completed")]
 
 CASES = {

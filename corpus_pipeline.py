@@ -1,7 +1,12 @@
 """Documents to training tokens: quality, near duplicates, repeated passages, benchmark passages, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; what it returns is written as Parquet and
-reread as the next one's docs. All but the last return the columns of documents.
+reread as the next one's docs. All but the last return the columns of documents; further columns, whatever their names, pass through those four.
+
+In every stage: null texts stay null and empty ones empty, unless the stage drops the row; they have no words, so they are near duplicates of nothing,
+hold no passage, and have no tokens. Repeated rows are near duplicates of each other, so one stays. doc_id may be null or repeat. A very long text
+is taken whole, as one row. Ties (of labels, scores, groups) are settled as the operators' docstrings say. An empty table gives an empty
+result with the same columns.
 """
 
 from __future__ import annotations

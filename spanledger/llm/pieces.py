@@ -3,6 +3,11 @@
 The best segmentation of a text into pieces has the highest sum of piece scores. Forward Viterbi scores over the lattice of
 pieces are exact heuristics for the backward A-star search that yields segmentations in order of score (`Lattice`).
 
+A model of byte-pair merges (its scores are ranks, so whole numbers) was trained on texts cut by its merges, so
+`ids` are cut that way, as the model's own library does: of all neighbours that make a piece, those of the best rank are joined first, the
+leftmost first. `score` is the sum of their ranks; the N best are those of the lattice, whose sums are as high or higher. With the
+scores of other models, which are logarithms of probabilities, `ids` are the best segmentation.
+
 No piece has anything before a word mark, and none has a line feed among others (checked when a model is loaded; else a text is
 one unit), so a text is a row of units that are segmented apart from each other. Many units at once go through the lattice as
 numpy arrays: forward and backward Viterbi scores, and from both the best segmentation that differs from the best one. The
@@ -11,7 +16,7 @@ N best segmentations of a text change the few units that lose least; A-star list
 Characters without a piece become byte pieces. Scores are the model file's; a character without a piece costs the smallest
 score less 10. The text is not normalised: a word mark is put first, blanks become word marks, and decoding gives the text back.
 
-Texts of any length are encoded whole. Null and empty texts have no pieces, a score of 0 and one segmentation. Repeated rows are
+Texts of any length are encoded whole, a megabyte of whole texts at a time; one longer text is one row's work. Null and empty texts have no pieces, a score of 0 and one segmentation. Repeated rows are
 encoded each. An empty table gives an empty result. Further columns are not read. The vocabulary is sent to the tasks as the
 model's bytes (at most MODEL_BYTES); nothing of the documents is gathered, and each task keeps at most CACHE_UNITS units.
 """
@@ -66,6 +71,9 @@ class Vocabulary:
         inner = re.compile(f"[^{MARK}]{MARK}|.\n|\n.", re.S)
         apart = not any(inner.search(p) for p in self.pieces)
         self.units = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+" if apart else "(?s:.+)")
+        self.merges = all(s == int(s) for _, s in self.pieces.values())
+        if self.merges:
+            self.pairs = self._pairs(n)
         keys = sorted((_code(p), i, s) for p, (i, s) in self.pieces.items())
         self.codes = np.array([k for k, _, _ in keys], np.uint64)
         if len(np.unique(self.codes)) < len(keys):
@@ -75,10 +83,124 @@ class Vocabulary:
         self.near = np.zeros(1 << 20, bool)
         self.near[_spread(self.codes)] = True
 
+    def _pairs(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbours that make a piece: their sorted keys (left id times n, plus right id), the ids and scores of what they make, which
+        hashes they have, and the scores of all ids."""
+        found = []
+        for piece, (i, s) in self.pieces.items():
+            for cut in range(1, len(piece)):
+                a, b = self.pieces.get(piece[:cut]), self.pieces.get(piece[cut:])
+                if a and b:
+                    found.append((a[0] * n + b[0], i, s))
+        found.sort()
+        keys = np.array([f[0] for f in found], np.int64)
+        near, scores = np.zeros(1 << 20, bool), np.zeros(n)
+        near[_spread(keys.view(np.uint64))] = True
+        for i, s in self.pieces.values():
+            scores[i] = s
+        return keys, np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.float64), near, scores
+
     def unknown_ids(self, char: str) -> tuple[int, ...]:
         return tuple(self.bytes[b] for b in char.replace(MARK, " ").encode())
 
 
+def merged(vocabulary: Vocabulary, unit: str) -> Segmentation:
+    """The segmentation of a unit by merges in the order of their ranks, the leftmost first."""
+    pieces = vocabulary.pieces
+    parts: list[str | None] = list(unit)
+    if len(parts) <= LONG_UNIT:
+        while len(parts) > 1:
+            best, at = _NONE, -1
+            for k, (a, b) in enumerate(zip(parts, parts[1:])):
+                found = pieces.get(a + b)
+                if found and found[1] > best:
+                    best, at = found[1], k
+            if at < 0:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    else:
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(a: int) -> None:
+            if a >= 0 and after[a] < len(parts):
+                joined = parts[a] + parts[after[a]]
+                found = pieces.get(joined)
+                if found:
+                    heapq.heappush(heap, (-found[1], a, joined))
+
+        for a in range(len(parts) - 1):
+            offer(a)
+        while heap:
+            _, a, joined = heapq.heappop(heap)
+            b = after[a]
+            if parts[a] is None or b >= len(parts) or parts[a] + parts[b] != joined:
+                continue
+            parts[a], parts[b], after[a] = joined, None, after[b]
+            if after[a] < len(parts):
+                before[after[a]] = a
+            offer(before[a])
+            offer(a)
+        parts = [p for p in parts if p is not None]
+    ids, score = [], 0.0
+    for p in parts:
+        found = pieces.get(p)
+        ids += [found[0]] if found else vocabulary.unknown_ids(p)
+        score += found[1] if found else vocabulary.unknown
+    return Segmentation(score, tuple(ids))
+
+
+def merge_batch(vocabulary: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `merged`, for units of known characters: ids one after another, how many each has, and the scores. One pair of every unit
+    is joined at a time, and only the pairs beside it are looked up again."""
+    keys, made, ranks, near, scores = vocabulary.pairs
+    n = len(scores)
+    single = {c: vocabulary.pieces[c][0] for c in set().union(*units)}
+    ids = np.array([single[c] for u in units for c in u], np.int64)
+    unit = np.repeat(np.arange(len(units)), [len(u) for u in units])
+    done_ids, done_units = [], []
+
+    def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and id of what the symbols at these places make with the next ones."""
+        value, new = np.full(len(at), _NONE), np.zeros(len(at), np.int64)
+        pairs = np.flatnonzero((at + 1 < len(ids)) & (unit[np.minimum(at + 1, len(ids) - 1)] == unit[at]))
+        key = ids[at[pairs]] * n + ids[at[pairs] + 1]
+        some = near[_spread(key.view(np.uint64))]
+        pairs, key = pairs[some], key[some]
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        same = keys[place] == key
+        value[pairs[same]], new[pairs[same]] = ranks[place[same]], made[place[same]]
+        return value, new
+
+    value, new = look(np.arange(len(ids)))
+    while len(ids):
+        first = np.flatnonzero(np.diff(unit, prepend=-1))
+        best = np.maximum.reduceat(value, first)
+        sizes = np.diff(np.append(first, len(ids)))
+        over = best == _NONE
+        if over.any():
+            out = np.repeat(over, sizes)
+            done_ids.append(ids[out])
+            done_units.append(unit[out])
+            ids, unit, value, new = ids[~out], unit[~out], value[~out], new[~out]
+            best, sizes = best[~over], sizes[~over]
+            if not len(ids):
+                break
+        hit = np.flatnonzero(value == np.repeat(best, sizes))
+        at = hit[np.flatnonzero(np.diff(unit[hit], prepend=-1))]  # the leftmost of each unit
+        ids[at] = new[at]
+        stay = np.ones(len(ids), bool)
+        stay[at + 1] = False
+        at = (np.cumsum(stay) - 1)[at]
+        ids, unit, value, new = ids[stay], unit[stay], value[stay], new[stay]
+        changed = np.concatenate((at, np.maximum(at - 1, 0)))
+        value[changed], new[changed] = look(changed)
+    flat, owner = np.concatenate(done_ids), np.concatenate(done_units)
+    by = np.argsort(owner, kind="stable")
+    flat, sizes = flat[by], np.bincount(owner, minlength=len(units))
+    return flat.astype(np.int32), sizes, np.add.reduceat(scores[flat], np.cumsum(sizes) - sizes)
+
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -225,15 +347,23 @@ class Encoder:
         self.others: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
         self.ids, self.sizes, self.score, self.loss = _Grown(np.int32), _Grown(np.int64), _Grown(np.float64), _Grown(np.float64)
         self.first = _Grown(np.int64)
+        self.own_ids, self.own_sizes, self.own_score = _Grown(np.int32), _Grown(np.int64), _Grown(np.float64)
+        self.own_first = _Grown(np.int64)
 
     def units(self, text: str) -> list[str]:
         return self.vocabulary.units.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray, score: np.ndarray, loss: np.ndarray) -> None:
+    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray, score: np.ndarray, loss: np.ndarray, own: tuple | None) -> None:
+        """own: ids, sizes and scores of the units cut by merges, where the model has these."""
         self.place.update(zip(units, range(len(self.place), len(self.place) + len(units))))
         self.first.add(self.ids.n + np.cumsum(sizes) - sizes)
-        for own, more in ((self.ids, ids), (self.sizes, sizes), (self.score, score), (self.loss, loss)):
-            own.add(more)
+        for room, more in ((self.ids, ids), (self.sizes, sizes), (self.score, score), (self.loss, loss)):
+            room.add(more)
+        if own is not None:
+            ids, sizes, score = own
+        self.own_first.add(self.own_ids.n + np.cumsum(sizes) - sizes)
+        for room, more in ((self.own_ids, ids), (self.own_sizes, sizes), (self.own_score, score)):
+            room.add(more)
 
     def learn(self, units: list[str]) -> np.ndarray:
         """Segments the units that are new; the places of all in the arrays."""
@@ -245,13 +375,24 @@ class Encoder:
         plain = [u for u in missing if len(u) <= LONG_UNIT and self.known.issuperset(u)]
         for at in range(0, len(plain), BATCH_UNITS):
             some = plain[at : at + BATCH_UNITS]
-            self._add(some, *batch(self.vocabulary, some))
+            self._add(some, *batch(self.vocabulary, some), merge_batch(self.vocabulary, some) if self.vocabulary.merges else None)
         for u in missing.difference(plain):
             first, *more = Lattice(self.vocabulary, u).nbest(2)
             loss = first.score - more[0].score if more else np.inf
-            self._add([u], np.array(first.ids), np.array([len(first.ids)]), np.array([first.score]), np.array([loss]))
+            cut = merged(self.vocabulary, u)
+            own = (np.array(cut.ids, np.int32), np.array([len(cut.ids)]), np.array([cut.score])) if self.vocabulary.merges else None
+            self._add([u], np.array(first.ids), np.array([len(first.ids)]), np.array([first.score]), np.array([loss]), own)
         return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
 
+    def own(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The model's ids of the units one after another, and how many each has."""
+        sizes = self.own_sizes.room[places]
+        return self.own_ids.room[ragged(self.own_first.room[places], sizes)], sizes
+
+    def encode(self, text: str) -> list[int]:
+        """The model's ids of a text."""
+        return self.own(self.learn(self.units(text)))[0].tolist()
+
     def best(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the units one after another, and how many each has."""
         sizes = self.sizes.room[places]
@@ -341,8 +482,8 @@ def default_model() -> str:
 
 
 def encode(docs: DataFrame, model: bytes, n_best: int = NBEST) -> DataFrame:
-    """doc_id, n_bytes, ids and score of the best segmentation, nbest_scores and nbest_pieces of the n_best best, and
-    round_trip: whether the ids decode to the text."""
+    """doc_id, n_bytes, ids, n_pieces and score of the model's segmentation, nbest_scores and nbest_pieces of the n_best best of
+    the lattice, and round_trip: whether the ids decode to the text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -355,22 +496,24 @@ def encode(docs: DataFrame, model: bytes, n_best: int = NBEST) -> DataFrame:
                 units = [encoder.units(t) for t in texts]
                 stops = np.cumsum([0, *map(len, units)])
                 places = encoder.learn(list(itertools.chain.from_iterable(units)))
-                ids, sizes = encoder.best(places)
-                before = np.concatenate(([0], np.cumsum(sizes)))  # pieces before each unit
+                ids, own_sizes = encoder.own(places)
+                before = np.concatenate(([0], np.cumsum(own_sizes)))  # pieces before each unit
+                sizes = encoder.sizes.room[places]
                 loss = encoder.loss.room[places]
                 bytes_of, spelled = encoder.spelled(ids)
                 letters = np.concatenate(([0], np.cumsum(spelled)))
                 out: list[tuple] = []
                 for i, own in enumerate(units):
                     a, b = int(stops[i]), int(stops[i + 1])
-                    n_pieces = int(before[b] - before[a])
+                    best_pieces = int(sizes[a:b].sum())
                     total = float(encoder.score.room[places[a:b]].sum())
                     others = encoder.changes(own, loss[a:b], n_best)
                     grown = [sum(len(new) - int(sizes[a + j]) for j, new in changed) for _, changed in others]
                     back = bytes_of[letters[before[a]] : letters[before[b]]].tobytes()
                     out.append((
-                        ends[i + 1] - ends[i], n_pieces, total, [total, *(total - x for x, _ in others)],
-                        [n_pieces, *(n_pieces + x for x in grown)], back[1:] == raw[ends[i] : ends[i + 1]],
+                        ends[i + 1] - ends[i], int(before[b] - before[a]), float(encoder.own_score.room[places[a:b]].sum()),
+                        [total, *(total - x for x, _ in others)], [best_pieces, *(best_pieces + x for x in grown)],
+                        back[1:] == raw[ends[i] : ends[i + 1]],
                     ))
                 lists = pa.ListArray.from_arrays(pa.array(before[stops], pa.int32()), pa.array(ids, pa.int32()))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_())

@@ -11,8 +11,8 @@ Template: <|im_start|>role\\ntext<|im_end|>\\n for each turn. In roles and texts
 in roles a line feed becomes "\\n", so that marks in texts are no marks and every turn can be read back.
 
 A null text or role is empty, a null conv_id is a conversation of its own. A parent that doesn't exist makes its child a root;
-messages on a ring of parents have no root and are left out, as are second messages under one (conv_id, node). Ties of
-score go to the smaller leaf. An empty table gives an empty result. Further columns are not read.
+messages on a ring of parents have no root and are left out. Of messages under one (conv_id, node) the smallest by (parent,
+role, text, score), null first, is taken whole. Ties of score go to the smaller leaf. A very long text is one row's work. An empty table gives an empty result. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -67,46 +67,36 @@ def _same(a: str, a_node: str, b: str, b_node: str) -> Column:
 
 
 def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Tables of (conv_id, node, anc) for the 1st, 2nd, 4th ... ancestor, and (conv_id, node, depth, total) of finished nodes."""
+    """Tables of (conv_id, node, anc) for the 1st, 2nd, 4th ... ancestor, and (conv_id, node, depth, total) of finished nodes.
+
+    Every round writes one table of all nodes. A node whose ancestor has finished ends with the ancestor's sums.
+    """
     ids = nodes.select("conv_id", "node")
     step = (
         nodes.alias("a").join(ids.alias("b"), _same("a", "parent", "b", "node"), "left")
         .select("a.conv_id", "a.node", F.col("b.node").alias("anc"), F.lit(1).cast("long").alias("depth"), F.col("a.score").alias("total"))
     )
-    jumps, finished = [], []
-    limit = 1
+    jumps, limit, most = [], 1, None
     while True:
         step = written(step, "jumps")
-        finished.append(step.filter(F.col("anc").isNull()).select("conv_id", "node", "depth", "total"))
-        going = step.filter(F.col("anc").isNotNull())
+        finished, going = step.filter(F.col("anc").isNull()), step.filter(F.col("anc").isNotNull())
         if going.isEmpty():
             break
-        if limit == 1:
+        if most is None:
             most = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0]
         if limit > most:  # only rings of parents are left
             break
         limit *= 2
         jumps.append(going.select("conv_id", "node", "anc"))
-        step = (
-            going.alias("a").join(step.alias("b"), _same("a", "anc", "b", "node"), "inner")
+        further = (
+            going.alias("a").join(step.alias("b"), _same("a", "anc", "b", "node"))
             .select(
                 "a.conv_id", "a.node", "b.anc", (F.col("a.depth") + F.col("b.depth")).alias("depth"),
                 (F.col("a.total") + F.col("b.total")).alias("total"),
             )
         )
-        if len(finished) > 1 or jumps:  # an ancestor may have finished in an earlier round
-            done = reduce(DataFrame.unionByName, finished[:-1]) if len(finished) > 1 else None
-            if done is not None:
-                early = (
-                    going.alias("a").join(done.alias("b"), _same("a", "anc", "b", "node"), "inner")
-                    .select(
-                        "a.conv_id", "a.node", F.lit(None).cast("long").alias("anc"),
-                        (F.col("a.depth") + F.col("b.depth")).alias("depth"),
-                        (F.col("a.total") + F.col("b.total")).alias("total"),
-                    )
-                )
-                step = step.unionByName(early)
-    return jumps, reduce(DataFrame.unionByName, finished)
+        step = finished.unionByName(further)
+    return jumps, finished.select("conv_id", "node", "depth", "total")
 
 
 def paths(messages: DataFrame, best: int = 1) -> DataFrame:
@@ -117,8 +107,8 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     )
     nodes = written(nodes, "messages")
     unique = nodes.groupBy("conv_id", "node").agg(
-        F.min(F.struct(F.coalesce("parent", F.lit(-1)), "role", "text", "score")).alias("m"), F.min("parent").alias("parent")
-    ).select("conv_id", "node", "parent", "m.role", "m.text", "m.score")
+        F.min(F.struct("parent", "role", "text", "score")).alias("m")
+    ).select("conv_id", "node", "m.*")
     ids = unique.select("conv_id", "node", "parent", "score")
     jumps, ends = _ancestors(ids)
     answered = ids.select("conv_id", F.col("parent").alias("node")).filter(F.col("node").isNotNull()).distinct()

@@ -62,6 +62,15 @@ def test_branches_are_ranked_and_rings_left_out(spark):
         assert sorted(((r.conv_id, r.leaf, [x.text for x in r.p]) for r in found.collect()), key=repr) == brute(rows, best)
 
 
+def test_messages_under_one_node_are_not_mixed(spark):
+    rows = [(1, 1, None, "user", "root", 0.0), (1, 2, None, "user", "A", 0.0), (1, 2, 1, "user", "B", 0.0)]
+    rows += [(2, -1, None, "user", "r", 0.0), (2, 5, -1, "user", "under it", 0.0), (2, 5, -1, "assistant", "x", None)]
+    found = op.paths(spark.createDataFrame(rows, KIND), 5)
+    assert shown(found, "conv_id", "leaf", "depth", "text") == [
+        (1, 1, 1, "root"), (1, 2, 1, "A"), (2, 5, 1, "r"), (2, 5, 2, "x"),
+    ]
+
+
 def test_empty_and_native(spark):
     none = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     formatted = op.format_conversations(op.linear(none))

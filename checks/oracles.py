@@ -339,6 +339,11 @@ FROM (SELECT n, n - row_number() OVER (ORDER BY n) AS k
       FROM (SELECT DISTINCT event_id AS n FROM events WHERE event_type <> 'error')) GROUP BY k""",
     "validate_timestamps": _with(DEFECTS, BLOCK_RANGES, GATE) + "SELECT * FROM gate",
     "validate_uneven_ranges": _with(DEFECTS, SPANS, GATE) + "SELECT * FROM gate",
+    "presence_gate": _with(DEFECTS, BLOCK_RANGES, GATE) + "SELECT * FROM gate",
+    "presence_recheck": _with(DEFECTS, SPANS, GATE) + "SELECT * FROM gate",
+    "presence_islands": _with(DEFECTS) + f"""SELECT min(n) AS start_block, max(n) + 1 AS end_block
+FROM (SELECT n, n - row_number() OVER (ORDER BY n) AS k
+      FROM (SELECT block_number AS n FROM blocks WHERE {USABLE} AND block_number % 1000 >= 150)) GROUP BY k""",
     "sample_bad_blocks": _with(DEFECTS) + f"""SELECT block_number, timestamp, {STAMP} AS formatted_timestamp
 FROM blocks WHERE block_number >= (SELECT max(block_number) // 2 FROM blocks)
   AND block_number < (SELECT max(block_number) // 2 + 100 FROM blocks) ORDER BY block_number LIMIT 5""",

@@ -21,6 +21,7 @@ from spanledger.plans.repair import repair_plan
 from spanledger.schemas import STATE_KEY, STATE_TABLE
 from spanledger.session import configure, work_folder
 from spanledger.sources import extracts
+from spanledger.sources.presence import PresenceIndex
 from spanledger.sources.snapshots import StateView
 from spanledger.sources.tables import TableStore, partition_value, unexpired
 from spanledger.streaming.dedup import confirmed_by_time, stream_dedup, unexpired_stream
@@ -283,6 +284,42 @@ def validate_uneven_ranges(spark, d):
     return quality.validate_timestamps(ranges, blocks)
 
 
+def _indexed(spark, d, loads=3, folded=2) -> PresenceIndex:
+    """Blocks with defects as words of several loads, of which some are folded."""
+    index, blocks = PresenceIndex(_store(spark, "presence")), V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS)
+    for k in range(loads):
+        index.add(blocks.filter(F.col("block_number") % 3 == k), VERSION + k)
+        if k + 1 == folded:
+            index.fold()
+    return index
+
+
+def presence_gate(spark, d):
+    ranges = plan_ranges(spark, 0, _head(V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS)) + 1, 100)
+    return _indexed(spark, d).gate(ranges)
+
+
+def presence_recheck(spark, d):
+    """Verdicts of each customer's span after two of three loads, brought up to date after the third."""
+    ranges = V.table(spark, d, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderkey").alias("start_block"), F.max("o_orderkey").alias("end_block")
+    )
+    index = _indexed(spark, d, loads=2)
+    known = index.store.put_work(index.gate(ranges), "known")
+    index.add(V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS).filter("block_number % 3 = 2"), VERSION + 2)
+    return index.recheck(known, VERSION + 1)
+
+
+def presence_islands(spark, d):
+    """Runs of blocks with a usable time, after the first 150 blocks of every 1000 were deleted."""
+    index = _indexed(spark, d)
+    head = _head(V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS))
+    index.remove(
+        spark.range(0, head + 1, 1000).select(F.col("id").alias("start_block"), (F.col("id") + 150).alias("end_block")), VERSION + 3
+    )
+    return index.islands("usable")
+
+
 def sample_bad_blocks(spark, d):
     blocks = V.spark_view(spark, d, V.BLOCKS_WITH_DEFECTS)
     half = _head(blocks) // 2
@@ -867,6 +904,9 @@ QUERIES = {
     "block_islands": block_islands,
     "validate_timestamps": validate_timestamps,
     "validate_uneven_ranges": validate_uneven_ranges,
+    "presence_gate": presence_gate,
+    "presence_recheck": presence_recheck,
+    "presence_islands": presence_islands,
     "sample_bad_blocks": sample_bad_blocks,
     "zero_row_ranges": zero_row_ranges,
     "validate_report": validate_report,

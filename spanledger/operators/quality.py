@@ -43,6 +43,11 @@ def validate_timestamps(
         },
         n_ranges=n_ranges,
     )
+    return gate_columns(counted, *extra)
+
+
+def gate_columns(counted: DataFrame, *more: str) -> DataFrame:
+    """The verdict per range from its counts `present` and `valid`; an empty range is ok."""
     expected = F.greatest(F.col("end_block") - F.col("start_block"), F.lit(0).cast("bigint"))
     empty = expected == 0
     return counted.select(
@@ -51,7 +56,7 @@ def validate_timestamps(
         expected.alias("expected"),
         F.when(empty, 0).otherwise(F.col("valid")).alias("valid"),
         F.when(empty, 0).otherwise(F.col("present")).alias("present"),
-        *extra,
+        *more,
     ).withColumns(
         {
             "ok": F.col("valid") >= F.col("expected"),

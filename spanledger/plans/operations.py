@@ -32,6 +32,7 @@ from spanledger.plans.ranges import plan_ranges
 from spanledger.plans.repair import repair_plan
 from spanledger.schemas import GATE_MESSAGE, PROCESSING, SKIPPED, STATE_KEY, STATE_TABLE, TABLES
 from spanledger.sources.extracts import project_dataset, read_dataset, slice_range
+from spanledger.sources.presence import PresenceIndex
 from spanledger.sources.snapshots import StateView
 from spanledger.sources.tables import TableStore
 
@@ -89,6 +90,7 @@ def load_plan(
     replace: bool = False,
     claim: bool = True,
     view: StateView | None = None,
+    presence: PresenceIndex | None = None,
 ) -> None:
     """Load every range of the plan (dataset, start_block, end_block) and record the outcome.
 
@@ -100,7 +102,8 @@ def load_plan(
     An error of a job itself fails what the job would have loaded, and the other datasets go
     on. All rows carry `version`, so running the same call again changes nothing that a reader
     of latest versions sees. With `replace`, old rows go only after the new ones are staged. With a
-    `view`, the state of the plan's ranges comes from its snapshot and the events after it.
+    `view`, the state of the plan's ranges comes from its snapshot and the events after it; a `presence`
+    index records the blocks that were loaded.
     """
     as_of = as_of or now_utc()
     version = time.time_ns() if version is None else version
@@ -168,6 +171,8 @@ def load_plan(
                 store.replace_ranges(table, good, rows, version, staged=True)
             else:
                 store.append(rows, table, version)
+        if presence is not None and name == "blocks":
+            presence.add(parts[name], version, good if replace else None)
         loaded = reduce(DataFrame.unionByName, [rows.select("block_number") for rows in parts.values()])
         if such is not None:
             store.append_state(fail_ranges(state(), broken, as_of, version + 1))

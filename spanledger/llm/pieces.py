@@ -35,7 +35,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from spanledger.llm.common import in_batches, kept, text_blocks, text_column
+from spanledger.llm.common import ARROW_BYTES, in_batches, kept, text_blocks, text_column
 
 MARK = "▁"
 MODEL_BYTES = 64 << 20
@@ -335,8 +335,8 @@ class _Grown:
 class Encoder:
     """Segments texts; units that were met before are looked up."""
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: Vocabulary, cache_units: int = CACHE_UNITS, batch_units: int = BATCH_UNITS) -> None:
+        self.vocabulary, self.cache_units, self.batch_units = vocabulary, cache_units, batch_units
         self.known = frozenset(p for p in vocabulary.pieces if len(p) == 1)
         sizes = np.array([len(b) for b in vocabulary.out])
         self.out = np.frombuffer(b"".join(vocabulary.out), np.uint8), np.cumsum(sizes) - sizes, sizes
@@ -369,12 +369,12 @@ class Encoder:
         """Segments the units that are new; the places of all in the arrays."""
         distinct = set(units)
         missing = distinct.difference(self.place)
-        if len(self.place) + len(missing) > CACHE_UNITS and self.place:
+        if len(self.place) + len(missing) > self.cache_units and self.place:
             self.forget()
             missing = distinct
         plain = [u for u in missing if len(u) <= LONG_UNIT and self.known.issuperset(u)]
-        for at in range(0, len(plain), BATCH_UNITS):
-            some = plain[at : at + BATCH_UNITS]
+        for at in range(0, len(plain), self.batch_units):
+            some = plain[at : at + self.batch_units]
             self._add(some, *batch(self.vocabulary, some), merge_batch(self.vocabulary, some) if self.vocabulary.merges else None)
         for u in missing.difference(plain):
             first, *more = Lattice(self.vocabulary, u).nbest(2)
@@ -405,7 +405,7 @@ class Encoder:
             best = tuple(self.best(np.array([self.place[unit]]))[0].tolist())
             all_of_it = Lattice(self.vocabulary, unit).nbest(n)
             found = [(all_of_it[0].score - s.score, s.ids) for s in all_of_it if s.ids != best][: n - 1]
-            if len(self.others) >= CACHE_UNITS // 16:
+            if len(self.others) >= self.cache_units // 16:
                 self.others.clear()
             self.others[unit] = found
         return found
@@ -461,9 +461,10 @@ class Encoder:
         return raw[raw.startswith(b" ") :].decode("utf-8", "replace")
 
 
-def _encoder(model: bytes) -> Encoder:
+def _encoder(model: bytes, cache_units: int = CACHE_UNITS, batch_units: int = BATCH_UNITS) -> Encoder:
     """One per worker process, for the tasks that follow each other in it."""
-    return kept(f"encoder {hashlib.sha256(model).hexdigest()}", lambda: Encoder(Vocabulary(model)))
+    name = f"encoder {hashlib.sha256(model).hexdigest()} {cache_units} {batch_units}"
+    return kept(name, lambda: Encoder(Vocabulary(model), cache_units, batch_units))
 
 
 def read_model(path: str) -> bytes:
@@ -481,16 +482,21 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode(docs: DataFrame, model: bytes, n_best: int = NBEST) -> DataFrame:
+def encode(docs: DataFrame, model: bytes, n_best: int = NBEST, small: bool = False) -> DataFrame:
     """doc_id, n_bytes, ids, n_pieces and score of the model's segmentation, nbest_scores and nbest_pieces of the n_best best of
-    the lattice, and round_trip: whether the ids decode to the text."""
+    the lattice, and round_trip: whether the ids decode to the text.
+
+    small: smaller blocks of text, batches and memory of units in each worker, for about a third more CPU time; the rows are the same. For executors
+    whose memory other work has filled.
+    """
+    shrink = 16 if small else 1
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(sent.value)
+        encoder = _encoder(sent.value, CACHE_UNITS // min(shrink, 8), BATCH_UNITS // min(shrink, 4))
         for rows in batches:
-            for row, offsets, data in text_blocks(text_column(rows, "text"), TEXT_BYTES):
+            for row, offsets, data in text_blocks(text_column(rows, "text"), TEXT_BYTES // shrink):
                 raw, ends = data.tobytes(), offsets.tolist()
                 texts = [raw[a:b].decode() for a, b in zip(ends, ends[1:])]
                 units = [encoder.units(t) for t in texts]
@@ -527,7 +533,7 @@ def encode(docs: DataFrame, model: bytes, n_best: int = NBEST) -> DataFrame:
         f"doc_id {kind}, n_bytes bigint, n_pieces bigint, score double, nbest_scores array<double>, "
         "nbest_pieces array<bigint>, round_trip boolean, ids array<int>"
     )
-    return in_batches(docs.select("doc_id", "text"), run, schema, keeps=True)
+    return in_batches(docs.select("doc_id", "text"), run, schema, keeps=True, most=ARROW_BYTES // min(shrink, 4))
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:

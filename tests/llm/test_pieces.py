@@ -87,8 +87,11 @@ def test_other_models_take_the_best_segmentation(model, monkeypatch):
         assert tuple(other.encode(text)) == other.nbest(text, 1)[0].ids
 
 
-def test_a_full_cache_changes_nothing(model, encoder, documents, monkeypatch):
-    monkeypatch.setattr(op, "CACHE_UNITS", 50)
-    small = op.Encoder(encoder.vocabulary)
+def test_a_full_cache_changes_nothing(model, encoder, documents):
+    small = op.Encoder(encoder.vocabulary, 50)
     for _, text in itertools.islice(documents, 20):
         assert small.nbest(text, 3)[0] == encoder.nbest(text, 3)[0] and small.encode(text) == encoder.encode(text)
+
+
+def test_little_memory_gives_the_same_rows(docs, model):
+    assert sorted(map(repr, op.encode(docs, model, small=True).collect())) == sorted(map(repr, op.encode(docs, model).collect()))

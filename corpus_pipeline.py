@@ -42,8 +42,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes what is left."""
-    return pieces.encode(docs, pieces.read_model(pieces.default_model()))
+    """Encodes what is left, in little memory: the stages before have filled the executors' heaps."""
+    return pieces.encode(docs, pieces.read_model(pieces.default_model()), small=True)
 
 
 STAGES = [

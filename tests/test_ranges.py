@@ -89,6 +89,16 @@ def test_split_ranges_partitions_its_input(spark, monkeypatch):
     assert rows(out) == sorted(expected, key=repr)
 
 
+def test_pieces_of_overlapping_ranges_are_written_small(spark, tmp_path):
+    rng = random.Random(9)
+    starts = [rng.randrange(40_000) for _ in range(9000)]
+    spans = spark.createDataFrame([(k, s, s + rng.randint(90_000, 110_000)) for k, s in enumerate(starts)], f"k BIGINT, {RANGE}")
+    out = split_ranges(spans, 1000).coalesce(1)
+    out.write.parquet(str(tmp_path / "pieces"))
+    size, n = sum(f.stat().st_size for f in (tmp_path / "pieces").glob("*.parquet")), out.count()
+    assert n > 890_000 and size < 6 * n
+
+
 def test_plan_and_safe_ranges(spark):
     assert rows(plan_ranges(spark, 5, 26, 10)) == [(15, 25), (25, 26), (5, 15)]
     assert plan_ranges(spark, 5, 5, 10).count() == 0

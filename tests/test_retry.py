@@ -1,8 +1,11 @@
 """Streams with state of their own: claims that run out, children that wait for their block."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from spanledger.operators.latest import latest_state
 from spanledger.operators.enrich import enrich_strict, split_valid
 from spanledger.session import work_folder
@@ -47,6 +50,42 @@ def test_timers_and_attempts_survive_a_restart(spark, state_frame, tmp_path, res
     assert got == sorted(WANT, key=repr)
 
 
+def test_open_ranges_of_a_stretch_share_a_row_of_the_store(spark, state_frame, tmp_path):
+    claims = [("a", s, None if s > 4000 else s + 10, "processing", s // 200) for s in range(0, 5000, 10)] + [("a", None, None, "processing", 7)]
+    schema = None
+    for batch in (claims, [("a", 0, 10, "completed", HOUR), ("z", 0, 10, "completed", HOUR + 20)]):
+        frame = state_frame(batch)
+        frame.write.mode("append").parquet(str(tmp_path / "in"))
+        schema = frame.schema
+        found = stuck_claims(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), 1)
+        query = found.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).format("parquet").start(
+            str(tmp_path / "out")
+        )
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3
+    got = spark.read.schema(found.schema).parquet(str(tmp_path / "out"))
+    want = [("a", s, e, 1) for _, s, e, _, at in claims if at < 20 and s != 0]
+    assert rows(got, "dataset", "start_block", "end_block", "attempt_count") == sorted(want, key=repr)
+
+
+def test_a_step_of_many_files_is_one_micro_batch(spark, tmp_path):
+    folder = queries._empty_folder(spark, "steps")
+    batches = []
+    seen = spark.readStream.schema("id BIGINT").parquet(folder)
+    out = queries._in_steps(seen, "seen", batches_of(spark, folder, batches))
+    assert rows(out) == [(n,) for n in sorted(range(300), key=lambda n: repr((n,)))]
+    assert [b for b in batches if b < 2] == []  # a step is written by all its tasks
+
+
+def batches_of(spark, folder, files):
+    before = 0
+    for k in range(3):
+        yield [(folder, spark.range(100 * k, 100 * (k + 1), 1, 4))]
+        now = sum(n.endswith(".parquet") for n in os.listdir(folder))
+        files.append(now - before)
+        before = now
+
+
 def test_failed_rows_are_appended_to_the_state_and_free_the_range(spark, state_frame, tmp_path):
     store = TableStore(spark, work_folder(spark, "claims"), "day")
     store.append_state(state_frame([("a", 0, 10, "processing", 0), ("a", 10, 20, "processing", 0), ("a", 10, 20, "completed", HOUR)]))

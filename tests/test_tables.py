@@ -66,6 +66,17 @@ def test_append_counts_and_reads_latest(spark, store):
     assert rows(store.latest("blocks")) == latest
 
 
+def test_latest_of_a_large_table_is_dealt_to_more_tasks(spark, store, monkeypatch):
+    blocks = stamped(raw_blocks(spark, 40)).withColumn("block_number", F.when(F.col("block_number") != 7, F.col("block_number")))
+    store.append(blocks, "blocks", 1)
+    store.append(blocks.filter("block_number < 5").withColumn("block_hash", F.lit("new")), "blocks", 2)
+    expected = rows(store.latest("blocks"))
+    monkeypatch.setattr("spanledger.sources.tables.LATEST_BYTES", 1000)
+    found = store.latest("blocks")
+    assert found.rdd.getNumPartitions() == -(-store._stored_bytes("blocks") // 1000) > 10
+    assert rows(found) == expected and len(expected) == 40
+
+
 def test_rewrites_leave_rows_alone_that_are_added_meanwhile(spark, store, monkeypatch):
     store.append(stamped(raw_blocks(spark, 20)), "blocks", 1)
     real = TableStore._replace_files

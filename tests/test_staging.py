@@ -37,6 +37,25 @@ def test_staged_children_have_the_time_of_their_block_or_a_reason(staged):
     assert found == sorted(expected, key=repr)
 
 
+def test_staged_children_carry_no_column_that_was_not_extracted(staged):
+    assert staged.columns == ["block_number", "transaction_index", "input", "timestamp", "error", "block_timestamp"]
+
+
+def test_columns_that_a_frame_lacks_are_stored_as_null_and_not_sorted_along(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lacking"))
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "block_number BIGINT, block_hash STRING")
+    assert store.append(df, "blocks", 5) == 2
+    stored = store.read("blocks")
+    assert rows(stored, "block_number", "block_hash", "gas_used", "block_timestamp", "insert_version", "part_month") == [
+        (1, "a", None, None, 5, None), (2, "b", None, None, 5, None)
+    ]
+    plan = store._laid_out(df.withColumn("block_timestamp", F.timestamp_seconds("block_number")), "blocks")
+    assert plan.schema.names == stored.schema.names
+    optimized = plan._jdf.queryExecution().optimizedPlan().toString()
+    below = optimized[optimized.index("Sort"):]
+    assert "block_hash" in below and "gas_used" not in below
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_join_unique_without_hot_keys_set_apart(spark, how):
     l = spark.createDataFrame([(7, i) for i in range(60)] + [(None, 1), (3, 2)], "k BIGINT, i INT")

@@ -99,6 +99,37 @@ def test_pieces_of_overlapping_ranges_are_written_small(spark, tmp_path):
     assert n > 890_000 and size < 6 * n
 
 
+def test_long_ranges_that_begin_anywhere_are_written_small_by_several_tasks(spark, tmp_path):
+    rng = random.Random(10)
+    starts = [rng.randrange(100_000) // 50 * 50 for _ in range(200)]
+    spans = spark.createDataFrame([(k, s, s + 5_000_000 + k) for k, s in enumerate(starts)], f"k BIGINT, {RANGE}")
+    out = split_ranges(spans.coalesce(1), 1000)
+    out.write.parquet(str(tmp_path / "pieces"))
+    files = list((tmp_path / "pieces").glob("*.parquet"))
+    written = spark.read.parquet(str(tmp_path / "pieces"))
+    expected = [(k, len(range(s, s + 5_000_000 + k, 1000)), s, s + 5_000_000 + k) for k, s in enumerate(starts)]
+    found = written.groupBy("k").agg(
+        F.count_distinct("start_block").alias("n"), F.min("start_block").alias("lo"), F.max("end_block").alias("hi")
+    )
+    assert rows(found) == sorted(expected, key=repr) and written.count() == sum(n for _, n, _, _ in expected)
+    assert len(files) > 1 and sum(f.stat().st_size for f in files) < 2 * written.count()
+
+
+@pytest.mark.parametrize("per_array", [3, 4, 4096])
+def test_steps_of_ranges_that_are_cut_anywhere(spark, monkeypatch, per_array):
+    monkeypatch.setattr(joins, "STEPS_PER_ARRAY", per_array)
+    monkeypatch.setattr(joins, "STEPS_DEALT", 4)
+    monkeypatch.setattr(joins, "STEPS_TOGETHER", 2)
+    if per_array == 3:
+        monkeypatch.setattr(joins, "STEPS_TOGETHER", 3)
+    spans = [(f, f + n) for f in range(-9, 9) for n in (0, 1, 2, 5, 6, 7, 24, 40)] + [(5, 4), (None, 3), (3, None)]
+    frame = spark.createDataFrame(spans, "a INT, b INT")
+    for step in (1, 3):
+        out = joins.explode_steps(frame, F.col("a"), F.col("b"), step, "x")
+        expected = [(a, b, x) for a, b in spans if None not in (a, b) for x in range(a, b + 1, step)]
+        assert rows(out) == sorted(expected, key=repr) and dict(out.dtypes)["x"] == "int"
+
+
 def test_plan_and_safe_ranges(spark):
     assert rows(plan_ranges(spark, 5, 26, 10)) == [(15, 25), (25, 26), (5, 15)]
     assert plan_ranges(spark, 5, 5, 10).count() == 0

@@ -445,3 +445,36 @@ def test_a_restart_after_a_bad_row_goes_on(spark, store, tmp_path):
         ("blocks", 10, 1), ("transactions", 10, 1),
     ]
     assert state.filter("status = 'completed'").count() == 6
+
+
+def test_failed_ranges_of_the_stream_are_tried_again(spark, tmp_path):
+    """2800 blocks in four micro-batches; bad rows in the ranges at 0, 800, 900, 1700, 1900 and 2600."""
+    import duckdb
+
+    from checks.compare import compare
+    from checks.queries import QUERIES
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    tables = {
+        "orders": """SELECT i AS o_orderkey, i % 70 AS o_custkey, ['F', 'O', 'P'][i % 3 + 1] AS o_orderstatus, i * 1.5::DOUBLE AS o_totalprice,
+            TIMESTAMP '1995-01-01' + to_days((i % 900)::INTEGER) AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(2800) t(i)""",
+        "lineitem": """SELECT i // 2 AS l_orderkey, i % 9 AS l_partkey, i % 7 AS l_suppkey, (i % 2)::INTEGER AS l_linenumber,
+            i * 1.0::DOUBLE AS l_quantity, i * 2.0::DOUBLE AS l_extendedprice, 0.1::DOUBLE AS l_discount, 'A' AS l_returnflag,
+            TIMESTAMP '1995-02-01' AS l_shipdate FROM range(5600) t(i)""",
+    }
+    for name, sql in tables.items():
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    found = []
+
+    def query(spark, d):
+        found.append(QUERIES["stream_bad_ranges"](spark, d).localCheckpoint())
+        return found[0]
+
+    assert compare(spark, con, str(tmp_path), "stream_bad_ranges", {"stream_bad_ranges": query}) == ""
+    failed = rows(found[0].filter("status = 'failed'"), "dataset", "start_block", "attempt_count")
+    assert failed == sorted([
+        ("blocks", 0, 3), ("blocks", 900, 3), ("blocks", 1900, 2), ("transactions", 0, 3), ("transactions", 800, 3),
+        ("transactions", 900, 3), ("transactions", 1700, 2), ("transactions", 1900, 2), ("transactions", 2600, 1),
+    ], key=repr)
